@@ -1,0 +1,19 @@
+"""Keys that hold too many rows for one task."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+HOT_KEY_LIMIT = 1000  # at most this many keys can each hold more than 1/1000 of all rows
+MIN_HOT_ROWS = 1_000_000  # a group below this size is never worth splitting
+
+
+def hot_keys(sizes: DataFrame, key: str, rows: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
+    """Keys to be handled apart, given one row per key with its row count: the null key and the oversized ones.
+
+    A key is oversized when it holds more than ``1/HOT_KEY_LIMIT`` of all rows, so the result has at most
+    ``HOT_KEY_LIMIT`` rows (and the null key) for any input and may be broadcast.
+    """
+    total = sizes.agg(F.sum(rows)).scalar()
+    oversized = (F.col(rows) > F.lit(min_rows)) & (F.col(rows) * F.lit(HOT_KEY_LIMIT) > total)
+    return sizes.where(F.col(key).isNull() | oversized)
