@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-HOT_KEY_LIMIT = 1000  # at most this many keys can each hold more than 1/1000 of all rows
+HOT_KEY_LIMIT = 100_000  # at most this many keys can each hold more than 1/100,000 of all rows
 MIN_HOT_ROWS = 1_000_000  # a group below this size is never worth splitting
 
 

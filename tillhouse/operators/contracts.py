@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 log = logging.getLogger(__name__)
 
@@ -48,7 +48,7 @@ def cast_columns(df: DataFrame, types: Mapping[str, str], table: str = "table",
     for name in types:
         if name not in df.columns:
             log.warning("%s has no column %s to cast", table, name)
-    change = F.Column.try_cast if lenient else F.Column.cast
+    change = Column.try_cast if lenient else Column.cast
     return df.select(*[change(F.col(c), types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
 
 
