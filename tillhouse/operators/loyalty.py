@@ -10,7 +10,7 @@ from tillhouse.functions.ranking import global_row_number
 from tillhouse.functions.skew import MIN_HOT_ROWS, hot_keys
 from tillhouse.operators.users import user_totals
 
-SPAN = "hour"  # instants of a large group are compared within spans of this length
+SPAN = "minute"  # instants of a large group are compared within spans of this length
 
 
 def mean_interval() -> Column:
@@ -53,8 +53,9 @@ def previous_dates_of_large_groups(orders: DataFrame) -> DataFrame:
     """The same for users with any number of orders, who are never gathered in one task; order ids must be unique.
 
     Orders of one user at one instant follow each other without distance, except that the first of them looks back to
-    the user's previous instant.  So only the distinct instants need an order: within spans of an hour, plus the last
-    instant of the preceding span, of which there are as many per user as there are hours in the data.
+    the user's previous instant.  So only the distinct instants need an order: within spans of a minute, plus the last
+    instant of the preceding span.  A span has a bounded number of instants, and a user as many spans as the data has
+    minutes, however many orders there are.
     """
     instants = (
         orders.where(F.col("order_date").isNotNull())

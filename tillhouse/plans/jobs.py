@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import datetime
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tillhouse.functions.concurrency import run_together
 from tillhouse.functions.materialize import materialize
 from tillhouse.operators.contracts import cast_tables, project_contracts, require_content, schema_violations
 from tillhouse.operators.dedup import deduplicate
@@ -114,18 +116,17 @@ def silver(
 
 
 def gold_tables(
-    orders: DataFrame, order_items: DataFrame, users: DataFrame, totals: DataFrame | None = None
-) -> dict[str, DataFrame]:
-    """The analytical tables by name.  The per-user totals are computed once for all that need them."""
-    totals = materialize(user_totals(orders)) if totals is None else totals
+    orders: DataFrame, order_items: DataFrame, users: DataFrame, totals: DataFrame
+) -> dict[str, Callable[[], DataFrame]]:
+    """The analytical tables by name, built on call.  ``totals`` are the per-user totals that several of them share."""
     return {
-        "sales_and_revenues": daily_sales(orders),
-        "geography": city_sales(revenue_per_user(totals), users),
-        "customer_metrics": customer_metrics(totals),
-        "products": product_sales(order_items),
-        "orders": order_buckets(orders),
-        "customers_loyalty": customer_loyalty(orders, totals),
-        "top_products_per_city": top_products_per_city(order_items, users),
+        "customers_loyalty": lambda: customer_loyalty(orders, totals),
+        "products": lambda: product_sales(order_items),
+        "top_products_per_city": lambda: top_products_per_city(order_items, users),
+        "sales_and_revenues": lambda: daily_sales(orders),
+        "geography": lambda: city_sales(revenue_per_user(totals), users),
+        "customer_metrics": lambda: customer_metrics(totals),
+        "orders": lambda: order_buckets(orders),
     }
 
 
@@ -158,13 +159,18 @@ def gold(
 
     orders, order_items, users = tables["orders"], tables["order_items"], tables["users"]
     totals = materialize(user_totals(orders))
-    paths = {
-        name: write_table(df, reports if name in REPORTS else target, name)
-        for name, df in gold_tables(orders, order_items, users, totals).items()
-    }
-    paths["report"] = f"{reports.rstrip('/')}/report"
-    append_metrics(run_kpis(orders, order_items, totals, batch_id, as_of), paths["report"])
-    return paths
+    history = f"{reports.rstrip('/')}/report"
+
+    def write(name: str, build: Callable[[], DataFrame]) -> str:
+        return write_table(build(), reports if name in REPORTS else target, name)
+
+    def record() -> str:
+        append_metrics(run_kpis(orders, order_items, totals, batch_id, as_of), history)
+        return history
+
+    builds = gold_tables(orders, order_items, users, totals)
+    actions = {name: partial(write, name, build) for name, build in builds.items()}
+    return run_together(spark, {**actions, "report": record})
 
 
 def pipeline(

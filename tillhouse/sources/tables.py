@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tillhouse.functions.concurrency import run_together
+
 log = logging.getLogger(__name__)
 
 
@@ -81,7 +84,11 @@ def write_table(df: DataFrame, folder: str, name: str) -> str:
 
 
 def write_tables(tables: Mapping[str, DataFrame], folder: str) -> dict[str, str]:
-    return {name: write_table(df, folder, name) for name, df in tables.items()}
+    """Replace several tables and return their paths."""
+    if not tables:
+        return {}
+    spark = next(iter(tables.values())).sparkSession
+    return run_together(spark, {name: partial(write_table, df, folder, name) for name, df in tables.items()})
 
 
 def append_metrics(record: DataFrame, path: str) -> None:

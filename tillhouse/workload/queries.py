@@ -416,6 +416,15 @@ def silver_job(spark, folder):
     return reduce(DataFrame.unionByName, [summary(name, path) for name, path in paths.items()])
 
 
+def write_clean_tables(spark: SparkSession, folder: str, target: str) -> None:
+    """The sample with the types of clean tables."""
+    typed = {
+        name: contracts.cast_columns(build(spark, folder), dict(policies.CLEAN_SCHEMA[name]), name)
+        for name, (build, _) in src.SOURCES.items()
+    }
+    io.write_tables(typed, target)
+
+
 # For each analytical table, the number that is added up to compare its contents.
 GOLD_SUMS: dict[str, Callable[[], Column]] = {
     "sales_and_revenues": lambda: to_units(F.col("daily_revenue")),
@@ -432,9 +441,7 @@ GOLD_SUMS: dict[str, Callable[[], Column]] = {
 def gold_job(spark, folder):
     """Rows and a sum per analytical table."""
     root = scratch_path(spark, "gold")
-    for name, (build, _) in src.SOURCES.items():
-        types = dict(policies.CLEAN_SCHEMA[name])
-        io.write_table(contracts.cast_columns(build(spark, folder), types, name), f"{root}/silver", name)
+    write_clean_tables(spark, folder, f"{root}/silver")
     paths = jobs.gold(spark, f"{root}/silver", f"{root}/gold", f"{root}/reports", batch_id=BATCH, as_of=AS_OF)
 
     def summary(name: str, total: Column) -> DataFrame:
