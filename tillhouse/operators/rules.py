@@ -68,10 +68,16 @@ def flag_reference(df: DataFrame, parent: DataFrame, column: str, flag: str) ->
     """Add ``flag``: whether the value of ``column`` occurs in the parent's column of that name.
 
     Only the parent's distinct keys take part, so a key that occurs twice there cannot multiply rows.  Spark broadcasts
-    them when they are small and otherwise sort-merges; a value that many rows refer to is split by adaptive execution,
-    since the large side is the outer one and nothing here needs its rows clustered by key.
+    them when they are small and otherwise sort-merges.  Then a value that many rows refer to is split by adaptive
+    execution, which it does only if both sides come straight from a shuffle.  Distinct keys would stay where they were
+    made distinct; made so together with a hash of the key, they are shuffled once more for the join.
     """
-    keys = parent.where(F.col(column).isNotNull()).select(column).distinct().withColumn(flag, F.lit(True))
+    keys = (
+        parent.where(F.col(column).isNotNull())
+        .select(column, F.xxhash64(column).alias("_hash"))
+        .distinct()
+        .select(column, F.lit(True).alias(flag))
+    )
     return df.join(keys, column, "left").select(*df.columns, _sound(F.col(flag)).alias(flag))
 
 
