@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.functions import money
 from tillhouse.functions.materialize import materialize, scratch_path
-from tillhouse.functions.ranking import global_row_number
+from tillhouse.functions.ranking import global_row_numbers
 from tillhouse.functions.skew import hot_keys
 
 CENTS = Decimal("0.01")
@@ -57,23 +57,28 @@ def test_more_decimals_than_cents(spark):
     assert tuple(row) == (1.01, 0.34)
 
 
+@pytest.mark.parametrize("one_task_rows", [0, 500])
 @pytest.mark.parametrize("partitions", [1, 5])
-def test_global_row_number(spark, partitions):
+def test_global_row_numbers(spark, partitions, one_task_rows):
     """Most rows share one value, which must not hold them together."""
     generator = random.Random(7)
     rows = [(key, generator.choice([None, 1, 1, 1, 1, 2, 3])) for key in range(500)]
     generator.shuffle(rows)
     df = spark.createDataFrame(rows, "key int, value int").repartition(partitions)
-    ranked = global_row_number(df, [F.desc_nulls_last("value"), F.asc("key")], "place")
+    by_value = [F.desc_nulls_last("value"), F.asc("key")]
+    ranked = global_row_numbers(df, {"place": by_value, "reverse": [F.desc("key")]}, one_task_rows)
     ordered = sorted(rows, key=lambda row: (row[1] is None, -(row[1] or 0), row[0]))
     assert sorted((row.place, row.key) for row in ranked.collect()) == [
         (place, row[0]) for place, row in enumerate(ordered, start=1)
     ]
-    assert ranked.columns == ["key", "value", "place"]
+    assert all(row.reverse == 500 - row.key for row in ranked.collect())
+    assert ranked.dtypes == [("key", "int"), ("value", "int"), ("place", "bigint"), ("reverse", "bigint")]
 
 
-def test_global_row_number_of_nothing(spark):
-    assert global_row_number(spark.range(0).toDF("key"), [F.asc("key")], "place").collect() == []
+@pytest.mark.parametrize("one_task_rows", [-1, 0])
+def test_global_row_numbers_of_nothing(spark, one_task_rows):
+    empty = spark.range(0).toDF("key")
+    assert global_row_numbers(empty, {"place": [F.asc("key")]}, one_task_rows).collect() == []
 
 
 def test_hot_keys(spark):

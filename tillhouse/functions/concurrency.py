@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 
 T = TypeVar("T")
 
-WORKERS = 4
+WORKERS = 8
 
 
 def run_together(spark: SparkSession, actions: Mapping[str, Callable[[], T]], workers: int = WORKERS) -> dict[str, T]:

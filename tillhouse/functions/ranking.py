@@ -1,22 +1,42 @@
-"""Row numbers over a whole table without sending it to one task."""
+"""Row numbers over a whole table without sending a large one to one task."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillhouse.functions.materialize import materialize
 
+ONE_TASK_ROWS = 1_000_000  # up to this size one task ranks a table within seconds
+
 _ROW_BITS = 33  # monotonically_increasing_id(): partition number above, row number within the partition below
 
 
-def global_row_number(df: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """Add ``name`` (bigint, from 1): the position of each row in ``order``.
+def global_row_numbers(
+    df: DataFrame, orders: Mapping[str, list[Column]], one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
+    """Add one bigint column per entry of ``orders``: the position of each row, from 1, in that order.
+
+    An order should end with a unique key: it makes the result repeatable, and it lets Spark's range partitioner split
+    a value that many rows share.  The table is computed once and counted.  A small one is ranked by plain windows, any
+    other by distributed sorts.
+    """
+    table = materialize(df)
+    if table.count() <= one_task_rows:
+        numbers = {name: F.row_number().over(Window.orderBy(*order)) for name, order in orders.items()}
+        return table.withColumns({name: number.cast("bigint") for name, number in numbers.items()})
+    for name, order in orders.items():
+        table = _number_by_sorting(table, order, name)
+    return table
+
+
+def _number_by_sorting(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Range-sort the table and add the number of rows in earlier partitions to each row's place in its own.
 
-    ``order`` should end with a unique key: it makes the result repeatable, and it lets Spark's range partitioner split
-    a value that many rows share.  The table is range-sorted once and materialized, each row keeping its partition and
-    its position therein; the number of rows in earlier partitions is then added.  The offsets have one row per sort
-    partition, at most ``spark.sql.shuffle.partitions``, whatever the size of the table, which is why they may be
-    windowed in one task and broadcast.
+    The sorted table is materialized, so that rows and offsets come from the same partitions.  There is one offset per
+    sort partition, at most ``spark.sql.shuffle.partitions`` whatever the size of the table, which is why the offsets
+    may be windowed in one task and broadcast.
     """
     placed = materialize(df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()))
     partition = F.shiftright("_place", _ROW_BITS)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillhouse.functions.materialize import materialize
 from tillhouse.functions.money import money
-from tillhouse.functions.ranking import global_row_number
+from tillhouse.functions.ranking import global_row_numbers
 from tillhouse.functions.skew import MIN_HOT_ROWS, hot_keys
 from tillhouse.operators.users import user_totals
 
@@ -28,7 +28,7 @@ def loyalty_ranks(totals: DataFrame, rank_type: str = "int") -> DataFrame:
     users = totals.withColumn("avg_interval", mean_interval())
     pairs = users.select("orders_count", "avg_interval").distinct()
     order = [F.desc("orders_count"), F.asc_nulls_first("avg_interval")]
-    ranked = global_row_number(pairs, order, "loyalty_ranking").select(
+    ranked = global_row_numbers(pairs, {"loyalty_ranking": order}).select(
         F.col("orders_count").alias("_count"),
         F.col("avg_interval").alias("_interval"),
         F.col("loyalty_ranking").cast(rank_type).alias("loyalty_ranking"),

@@ -31,16 +31,15 @@ def null_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per table and column, ``(table_name, column_name, null_count, row_count)``: one aggregate per table."""
 
     def profile(name: str, df: DataFrame) -> DataFrame:
-        counts = [F.count_if(F.col(c).isNull()).alias(f"_{i}") for i, c in enumerate(df.columns)]
-        cells = [F.struct(F.lit(c).alias("c"), F.col(f"_{i}").alias("n")) for i, c in enumerate(df.columns)]
+        present = [F.count(F.col(c)).alias(c) for c in df.columns]
         return (
-            df.agg(F.count(F.lit(1)).alias("row_count"), *counts)
-            .select("row_count", F.explode(F.array(*cells)).alias("cell"))
+            df.agg(F.count(F.lit(1)).alias("_rows"), *present)
+            .unpivot("_rows", df.columns, "column_name", "_present")
             .select(
                 F.lit(name).alias("table_name"),
-                F.col("cell.c").alias("column_name"),
-                F.col("cell.n").alias("null_count"),
-                "row_count",
+                "column_name",
+                (F.col("_rows") - F.col("_present")).alias("null_count"),
+                F.col("_rows").alias("row_count"),
             )
         )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tillhouse.functions.money import money, to_units, units_to_cents
-from tillhouse.functions.ranking import global_row_number
+from tillhouse.functions.ranking import global_row_numbers
 
 TOP_PRODUCTS = 10  # fixed value: the length of each city's list
 
@@ -17,9 +17,11 @@ def product_sales(order_items: DataFrame, scale: int = 2, rank_type: str = "int"
         units_to_cents(F.sum(to_units(F.col("item_total"), scale)), scale).alias("_cents"),
     )
     product = F.asc_nulls_first("product_id")
-    by_count = global_row_number(totals, [F.desc_nulls_last("sold_count"), product], "_count_rank")
-    by_both = global_row_number(by_count, [F.desc_nulls_last("_cents"), product], "_revenue_rank")
-    return by_both.select(
+    ranks = {
+        "_count_rank": [F.desc_nulls_last("sold_count"), product],
+        "_revenue_rank": [F.desc_nulls_last("_cents"), product],
+    }
+    return global_row_numbers(totals, ranks).select(
         "product_id",
         "sold_count",
         money(F.col("_cents")).alias("summary_revenue"),

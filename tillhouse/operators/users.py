@@ -6,10 +6,10 @@ costs one row per map task.  The group of orders without a user is kept, as a nu
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tillhouse.functions.money import mean_cents, money, percent, to_units, units_to_cents
-from tillhouse.functions.ranking import global_row_number
+from tillhouse.functions.ranking import global_row_numbers
 
 # The segment names and their lower bounds, exclusive, in currency.
 HIGH_ABOVE, MEDIUM_ABOVE = 5000, 2000
@@ -69,40 +69,38 @@ def avg_orders_per_user(totals: DataFrame) -> DataFrame:
 def city_sales(revenue: DataFrame, users: DataFrame, rank_type: str = "int") -> DataFrame:
     """Revenue, buying users and mean revenue per user by city, with a rank for the first two.
 
-    Both sides of the join have one row per user.  The ranks run over one row per city, in one task.
+    Both sides of the join have one row per user.
     """
-
-    def rank(column: str) -> Column:
-        return F.row_number().over(Window.orderBy(F.desc(column), F.asc("city"))).cast(rank_type)
-
     cents = to_units(F.col("revenue_per_user"))
     per_city = (
         revenue.join(users.select("user_id", "city"), "user_id")
         .groupBy("city")
         .agg(F.sum(cents).alias("_cents"), F.count("user_id").alias("users_count"), F.count(cents).alias("_amounts"))
     )
-    return per_city.select(
+    city = F.asc_nulls_first("city")
+    ranks = {
+        "_revenue_rank": [F.desc_nulls_last("_cents"), city],
+        "_users_rank": [F.desc("users_count"), city],
+    }
+    return global_row_numbers(per_city, ranks).select(
         "city",
         money(F.col("_cents")).alias("revenue_per_city"),
         "users_count",
         money(mean_cents(F.col("_cents"), F.col("_amounts"))).alias("avg_per_user"),
-    ).select(
-        "*",
-        rank("revenue_per_city").alias("revenue_per_city_ranking"),
-        rank("users_count").alias("users_count_ranking"),
+        F.col("_revenue_rank").cast(rank_type).alias("revenue_per_city_ranking"),
+        F.col("_users_rank").cast(rank_type).alias("users_count_ranking"),
     )
 
 
 def top_users_share(revenue: DataFrame, total_revenue: float | None = None) -> DataFrame:
     """One row: the percentage of revenue that comes from the top tenth of users, 0 with fewer than ten users.
 
-    ``total_revenue`` replaces the sum over all users as the whole.  Users are ranked by a distributed sort, so no task
-    holds the top tenth.
+    ``total_revenue`` replaces the sum over all users as the whole.  However many users there are, no
+    task holds the top tenth.
     """
     by_revenue = [F.desc_nulls_last("_cents"), F.asc_nulls_first("user_id")]
-    ranked = global_row_number(
-        revenue.select("user_id", to_units(F.col("revenue_per_user")).alias("_cents")), by_revenue, "_rank"
-    )
+    amounts = revenue.select("user_id", to_units(F.col("revenue_per_user")).alias("_cents"))
+    ranked = global_row_numbers(amounts, {"_rank": by_revenue})
     size = ranked.agg(F.count(F.lit(1)))
     top = F.col("_rank") * 10 <= size.scalar()
     whole = F.sum("_cents") if total_revenue is None else to_units(F.lit(total_revenue))
