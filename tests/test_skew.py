@@ -51,11 +51,22 @@ def executed(df):
 
 
 def test_reference_flags_split_a_hot_key(spark, limits):
-    flagged = rules.flag_reference(skewed(spark), all_users(spark), "user_id", "found")
+    """With many keys and many unknown values."""
+    known = all_users(spark).where(F.pmod(F.xxhash64("user_id"), F.lit(2)) == 0)
+    flagged = rules.flag_reference(skewed(spark), known, "user_id", "found", max_broadcast=10)
     rows, plan = executed(flagged)
     assert rows == ROWS
     assert "SortMergeJoin(skew=true)" in plan
-    assert flagged.where("found").count() == ROWS
+    assert flagged.where("found").count() == skewed(spark).join(known, "user_id", "left_semi").count()
+
+
+def test_reference_flags_do_not_shuffle_rows_for_few_keys_or_few_unknown_values(spark, limits):
+    users = all_users(spark)
+    few_unknown = rules.flag_reference(skewed(spark), users.where("user_id <> 'hot'"), "user_id", "found", max_broadcast=10)
+    few_keys = rules.flag_reference(skewed(spark), users, "user_id", "found", max_broadcast=20_001)
+    for flagged, found in [(few_unknown, ROWS * 2 // 3), (few_keys, ROWS)]:
+        assert "Exchange hashpartitioning" not in flagged._jdf.queryExecution().executedPlan().toString()
+        assert flagged.where("found").count() == found
 
 
 def test_city_products_split_a_hot_user(spark, limits):

@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from typing import TypeVar
+from typing import Hashable, TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+K = TypeVar("K", bound=Hashable)
 T = TypeVar("T")
 
 WORKERS = 8
 
 
-def run_together(spark: SparkSession, actions: Mapping[str, Callable[[], T]], workers: int = WORKERS) -> dict[str, T]:
+def run_together(spark: SparkSession, actions: Mapping[K, Callable[[], T]], workers: int = WORKERS) -> dict[K, T]:
     """Run the actions from a few threads, so that the last tasks of one job do not leave the cluster idle.
 
     Results come in the order of ``actions``.  The first failure is raised once the running actions have ended.

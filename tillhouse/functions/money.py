@@ -20,12 +20,11 @@ def to_units(amount: Column, scale: int = 2) -> Column:
 def divide_half_up(numerator: Column, denominator: Column) -> Column:
     """Integer quotient rounded half away from zero; null when either side is null or the denominator is zero.
 
-    The denominator must not be negative.  Both sides go through decimals, so totals near the bigint limit times 10,000
-    (percentages) do not overflow.
+    The division is done on decimals, so totals near the bigint limit times 10,000 (percentages) do not overflow.
     """
-    den = F.nullif(denominator.cast(WHOLE), F.lit(0).cast(WHOLE))
+    den = F.abs(F.nullif(denominator.cast(WHOLE), F.lit(0).cast(WHOLE)))
     magnitude = F.call_function("div", F.abs(numerator) * 2 + den, den * 2)
-    return F.when(numerator < 0, -magnitude).otherwise(magnitude)
+    return F.when((numerator < 0) != (denominator < 0), -magnitude).otherwise(magnitude)
 
 
 def units_to_cents(units: Column, scale: int = 2) -> Column:

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
+from tillhouse.operators.contracts import has_columns
+
 log = logging.getLogger(__name__)
 
 # The policy names, the fill value and the flag column that configurations and results use.
@@ -95,8 +97,7 @@ def apply_null_policy(df: DataFrame, policy: Mapping[str, str], table: str = "ta
         raise ValueError(f"unknown null policies for {table}: {unknown}")
     absent = [c for c in policy if c not in df.columns]
     if absent:
-        log.warning("%s lacks the columns %s named in its null policy; left unchanged", table, absent)
-        return df
+        log.warning("%s lacks the columns %s named in its null policy", table, absent)
 
     def ruled(name: str) -> list[str]:
         return [c for c in df.columns if policy.get(c) == name]
@@ -123,6 +124,9 @@ def handle_nulls(
     for name in tables if found is None else found:
         policy = policies[name]
         if found is not None:
+            if not has_columns(tables[name], found[name]):
+                log.warning("%s lacks some of the columns %s and is left unchanged", name, list(found[name]))
+                continue
             for column in found[name]:
                 if column not in policy:
                     log.warning("%s.%s holds nulls but has no null policy", name, column)

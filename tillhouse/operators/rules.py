@@ -10,11 +10,14 @@ import datetime
 import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tillhouse.functions.concurrency import run_together
+from tillhouse.functions.materialize import materialize
+
 log = logging.getLogger(__name__)
 
 # The rule vocabulary and the names of the flags.
@@ -24,6 +27,8 @@ REFERENCE_FLAG = "df_{parent}_ref"
 VALUE_FLAG = "correct_{column}"
 OVERALL_FLAG = "business_overall_correct"
 
+MAX_BROADCAST_KEYS = 500_000  # tens of megabytes
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -64,21 +69,52 @@ def positive(column: str) -> Column:
     return _sound(F.col(column) > 0)
 
 
-def flag_reference(df: DataFrame, parent: DataFrame, column: str, flag: str) -> DataFrame:
+@dataclass(frozen=True)
+class KeySet:
+    """The distinct non-null values of one column, computed once, and how many there are."""
+
+    keys: DataFrame
+    count: int
+
+
+def key_set(parent: DataFrame, column: str) -> KeySet:
+    keys = materialize(parent.select(column).where(F.col(column).isNotNull()).distinct())
+    return KeySet(keys, keys.count())
+
+
+def flag_reference(
+    df: DataFrame,
+    parent: DataFrame | KeySet,
+    column: str,
+    flag: str,
+    values: DataFrame | None = None,
+    max_broadcast: int = MAX_BROADCAST_KEYS,
+) -> DataFrame:
     """Add ``flag``: whether the value of ``column`` occurs in the parent's column of that name.
 
-    Only the parent's distinct keys take part, so a key that occurs twice there cannot multiply rows.  Spark broadcasts
-    them when they are small and otherwise sort-merges.  Then a value that many rows refer to is split by adaptive
-    execution, which it does only if both sides come straight from a shuffle.  Distinct keys would stay where they were
-    made distinct; made so together with a hash of the key, they are shuffled once more for the join.
+    Rows are not shuffled as long as one of two things is small.  If the parent has few keys, they are broadcast.
+    Otherwise the values that the parent lacks, usually few, are looked for among the distinct values, and broadcast.
+    Only when there are many of these as well are rows and keys joined by a shuffle; there a value that many rows share
+    is split by adaptive execution.
+
+    ``values`` is a table that has all values of the column and is cheaper to compute than ``df``.
     """
-    keys = (
-        parent.where(F.col(column).isNotNull())
-        .select(column, F.xxhash64(column).alias("_hash"))
-        .distinct()
-        .select(column, F.lit(True).alias(flag))
-    )
-    return df.join(keys, column, "left").select(*df.columns, _sound(F.col(flag)).alias(flag))
+    known = parent if isinstance(parent, KeySet) else key_set(parent, column)
+    if known.count <= max_broadcast:
+        return _flag_members(df, F.broadcast(known.keys), column, flag, F.col("_member").isNotNull())
+
+    referred = (df if values is None else values).select(column).where(F.col(column).isNotNull()).distinct()
+    unknown = materialize(referred.join(known.keys, column, "left_anti"))
+    if unknown.count() <= max_broadcast:
+        found = F.col("_member").isNull() & F.col(column).isNotNull()
+        return _flag_members(df, F.broadcast(unknown), column, flag, found)
+
+    return _flag_members(df, known.keys, column, flag, F.col("_member").isNotNull())
+
+
+def _flag_members(df: DataFrame, keys: DataFrame, column: str, flag: str, found: Column) -> DataFrame:
+    members = keys.withColumn("_member", F.lit(True))
+    return df.join(members, column, "left").select(*df.columns, found.alias(flag))
 
 
 def _parsed_rules(
@@ -104,24 +140,20 @@ def _parsed_rules(
     return parsed
 
 
-def flag_table(
-    table: str,
+def _flag_parsed(
     df: DataFrame,
-    rules: Mapping[str, str],
-    parents: Mapping[str, DataFrame],
+    parsed: Sequence[Rule],
+    key_sets: Mapping[tuple[str, str], KeySet],
     enums: Mapping[str, Sequence],
-    as_of: datetime.datetime | None = None,
-    ignore_case: bool = False,
+    values: DataFrame,
+    as_of: datetime.datetime | None,
+    ignore_case: bool,
 ) -> DataFrame:
-    """The table with one flag per rule, in rule order, and the overall flag.
-
-    References cost one join each; everything else is part of a single projection.
-    """
-    parsed = _parsed_rules(table, df, rules, parents, enums)
+    """The table with one flag per rule, in rule order, and the overall flag, in a projection over the lookups."""
     joined = df
     for rule in parsed:
         if rule.parent is not None:
-            joined = flag_reference(joined, parents[rule.parent], rule.column, rule.flag)
+            joined = flag_reference(joined, key_sets[rule.parent, rule.column], rule.column, rule.flag, values)
 
     def flag(rule: Rule) -> Column:
         if rule.parent is not None:
@@ -139,18 +171,35 @@ def flag_tables(
     rules: Mapping[str, Mapping[str, str]],
     enums: Mapping[str, Sequence],
     parents: Mapping[str, DataFrame] | None = None,
+    values: Mapping[str, DataFrame] | None = None,
     as_of: datetime.datetime | None = None,
     ignore_case: bool = False,
 ) -> dict[str, DataFrame]:
     """Flag every table; every table needs rules.  Without any rules or enums there is no result.
 
-    ``parents`` are the tables that references point to, by default the flagged tables themselves.
+    ``parents`` are the tables that references point to and ``values`` the tables that referring values are collected
+    from (see :func:`flag_reference`), by default the flagged tables themselves.  Each parent's keys are computed once
+    for all tables that refer to them.
     """
     if not rules or not enums:
         log.error("no business rules or no enums are configured")
         return {}
     targets = tables if parents is None else parents
-    return {
-        name: flag_table(name, df, rules.get(name, {}), targets, enums, as_of, ignore_case)
-        for name, df in tables.items()
-    }
+    parsed = {name: _parsed_rules(name, df, rules.get(name, {}), targets, enums) for name, df in tables.items()}
+    lookups = {(rule.parent, rule.column) for each in parsed.values() for rule in each if rule.parent is not None}
+    key_sets = _compute_together(
+        tables, {lookup: partial(key_set, targets[lookup[0]], lookup[1]) for lookup in sorted(lookups)}
+    )
+    return _compute_together(
+        tables,
+        {
+            name: partial(
+                _flag_parsed, df, parsed[name], key_sets, enums, (values or tables)[name], as_of, ignore_case
+            )
+            for name, df in tables.items()
+        },
+    )
+
+
+def _compute_together(tables: Mapping[str, DataFrame], actions: Mapping) -> dict:
+    return run_together(next(iter(tables.values())).sparkSession, actions) if actions else {}

@@ -88,7 +88,7 @@ def clean_tables(
     complete = handle_nulls(cast_tables(tables, casts, lenient), null_policies)
     kept, rejected = deduplicate(complete, keys)
     lookups = _lookups(complete, kept, keys, rules)
-    return flag_tables(kept, rules, enums, lookups, as_of, ignore_case), rejected
+    return flag_tables(kept, rules, enums, lookups, complete, as_of, ignore_case), rejected
 
 
 def silver(

@@ -197,7 +197,7 @@ def business_flags(spark, folder):
     tables = {"orders": src.gappy_orders(spark, folder)}
     parents = {"events": src.events(spark, folder)}
     order_rules = {**policies.RULES["orders"], "user_id": "df_events"}
-    return rules.flag_tables(tables, {"orders": order_rules}, ENUMS, parents, PAST_LIMIT)["orders"]
+    return rules.flag_tables(tables, {"orders": order_rules}, ENUMS, parents, as_of=PAST_LIMIT)["orders"]
 
 
 # Analytical tables
