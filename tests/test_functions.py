@@ -8,9 +8,9 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tillhouse.functions import money
+from tillhouse.functions.keys import hot_keys
 from tillhouse.functions.materialize import materialize, scratch_path
 from tillhouse.functions.ranking import global_row_numbers
-from tillhouse.functions.skew import hot_keys
 
 CENTS = Decimal("0.01")
 

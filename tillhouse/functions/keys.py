@@ -1,13 +1,32 @@
-"""Keys that hold too many rows for one task."""
+"""Sets of keys: those small enough to broadcast, and those that hold too many rows for one task."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, functions as F
 
+from tillhouse.functions.materialize import materialize
+
+MAX_BROADCAST_KEYS = 500_000  # tens of megabytes
+
 HOT_KEY_LIMIT = 100_000  # at most this many keys can each hold more than 1/100,000 of all rows
 MIN_HOT_ROWS = 1_000_000  # a group below this size is never worth splitting
 
 
+@dataclass(frozen=True)
+class KeySet:
+    """A table of distinct keys, computed once, and how many there are."""
+
+    keys: DataFrame
+    count: int
+
+    @classmethod
+    def of(cls, keys: DataFrame) -> KeySet:
+        computed = materialize(keys)
+        return cls(computed, computed.count())
+
+
 def hot_keys(sizes: DataFrame, key: str, rows: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
     """Keys to be handled apart, given one row per key with its row count: the null key and the oversized ones.
 

@@ -9,11 +9,13 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import add
+from functools import partial, reduce
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tillhouse.functions.concurrency import run_together
+from tillhouse.functions.keys import MAX_BROADCAST_KEYS, KeySet
 from tillhouse.operators.nulls import FLAG_COLUMN
 
 log = logging.getLogger(__name__)
@@ -33,12 +35,42 @@ def survivor_order(df: DataFrame, keys: Sequence[str]) -> list[Column]:
     return [F.desc("_score"), *latest, *[F.asc_nulls_last(c) for c in sorted(set(df.columns) - fixed)]]
 
 
-def keep_survivors(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> KeySet:
+    """The keys that occur more than once.  Only the key columns are read and shuffled."""
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return KeySet.of(counted.where(F.col("_rows") > 1).select(*keys))
+
+
+def _rows_with(df: DataFrame, keys: Sequence[str], repeated: KeySet, kind: str) -> DataFrame:
+    """The rows with (``left_semi``) or without (``left_anti``) a repeated key; a null is a key like any other."""
+    others = repeated.keys.select(*[F.col(key).alias(f"_{key}") for key in keys])
+    same = reduce(and_, [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys])
+    return df.join(F.broadcast(others), same, kind)
+
+
+def keep_survivors(
+    df: DataFrame,
+    keys: Sequence[str],
+    repeated: KeySet | None = None,
+    max_broadcast: int = MAX_BROADCAST_KEYS,
+) -> DataFrame:
     """One row per key.
 
-    Spark turns ``row_number() = 1`` into a limit per key that runs before the shuffle as well, so of a key with any
-    number of copies each map task sends one row.
+    Without knowing the ``repeated`` keys all rows are shuffled by key.  With them, and as long as they are few enough
+    to broadcast, rows with a key of their own, usually nearly all, pass without a shuffle; only the others are ranked.
+    That reads the table twice, and pays off for a large table with few copies.
     """
+    if repeated is None or repeated.count > max_broadcast:
+        return _first_per_key(df, keys)
+    if repeated.count == 0:
+        return df
+    single = _rows_with(df, keys, repeated, "left_anti")
+    return single.unionByName(_first_per_key(_rows_with(df, keys, repeated, "left_semi"), keys))
+
+
+def _first_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Spark turns ``row_number() = 1`` into a limit per key that runs before the shuffle as well, so of a key with any
+    number of copies each map task sends one row."""
     ranked = Window.partitionBy(*keys).orderBy(*survivor_order(df, keys))
     return (
         df.withColumn("_score", completeness(df))
@@ -67,9 +99,18 @@ def mark_survivors(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     )
 
 
-def reject_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def reject_copies(
+    df: DataFrame,
+    keys: Sequence[str],
+    repeated: KeySet | None = None,
+    max_broadcast: int = MAX_BROADCAST_KEYS,
+) -> DataFrame:
     """The rows that :func:`keep_survivors` leaves out."""
-    return mark_survivors(df, keys, "_kept").where(~F.col("_kept")).drop("_kept")
+    repeated = repeated_keys(df, keys) if repeated is None else repeated
+    if repeated.count == 0:
+        return df.where(F.lit(False))
+    copies = df if repeated.count > max_broadcast else _rows_with(df, keys, repeated, "left_semi")
+    return mark_survivors(copies, keys, "_kept").where(~F.col("_kept")).drop("_kept")
 
 
 def deduplicate(
@@ -79,11 +120,14 @@ def deduplicate(
     if not keys:
         log.error("no de-duplication keys are configured")
         return {}, {}
-    kept, rejected = dict(tables), {}
-    for name, df in tables.items():
-        if name not in keys or not set(keys[name]) <= set(df.columns):
+    usable = {name: df for name, df in tables.items() if name in keys and set(keys[name]) <= set(df.columns)}
+    for name in tables:
+        if name not in usable:
             log.warning("%s has no usable de-duplication key and is passed through", name)
-            continue
-        kept[name] = keep_survivors(df, keys[name])
-        rejected[name] = reject_copies(df, keys[name])
-    return kept, rejected
+    if not usable:
+        return dict(tables), {}
+    spark = next(iter(usable.values())).sparkSession
+    repeated = run_together(spark, {name: partial(repeated_keys, df, keys[name]) for name, df in usable.items()})
+    kept = {name: keep_survivors(df, keys[name], repeated[name]) for name, df in usable.items()}
+    rejected = {name: reject_copies(df, keys[name], repeated[name]) for name, df in usable.items()}
+    return {name: kept.get(name, df) for name, df in tables.items()}, rejected

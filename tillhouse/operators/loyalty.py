@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tillhouse.functions.keys import MIN_HOT_ROWS, hot_keys
 from tillhouse.functions.materialize import materialize
 from tillhouse.functions.money import money
 from tillhouse.functions.ranking import global_row_numbers
-from tillhouse.functions.skew import MIN_HOT_ROWS, hot_keys
 from tillhouse.operators.users import user_totals
 
 SPAN = "minute"  # instants of a large group are compared within spans of this length

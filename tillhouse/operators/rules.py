@@ -16,7 +16,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillhouse.functions.concurrency import run_together
-from tillhouse.functions.materialize import materialize
+from tillhouse.functions.keys import MAX_BROADCAST_KEYS, KeySet
 
 log = logging.getLogger(__name__)
 
@@ -27,8 +27,6 @@ REFERENCE_FLAG = "df_{parent}_ref"
 VALUE_FLAG = "correct_{column}"
 OVERALL_FLAG = "business_overall_correct"
 
-MAX_BROADCAST_KEYS = 500_000  # tens of megabytes
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -69,17 +67,8 @@ def positive(column: str) -> Column:
     return _sound(F.col(column) > 0)
 
 
-@dataclass(frozen=True)
-class KeySet:
-    """The distinct non-null values of one column, computed once, and how many there are."""
-
-    keys: DataFrame
-    count: int
-
-
 def key_set(parent: DataFrame, column: str) -> KeySet:
-    keys = materialize(parent.select(column).where(F.col(column).isNotNull()).distinct())
-    return KeySet(keys, keys.count())
+    return KeySet.of(parent.select(column).where(F.col(column).isNotNull()).distinct())
 
 
 def flag_reference(
@@ -104,10 +93,10 @@ def flag_reference(
         return _flag_members(df, F.broadcast(known.keys), column, flag, F.col("_member").isNotNull())
 
     referred = (df if values is None else values).select(column).where(F.col(column).isNotNull()).distinct()
-    unknown = materialize(referred.join(known.keys, column, "left_anti"))
-    if unknown.count() <= max_broadcast:
+    unknown = KeySet.of(referred.join(known.keys, column, "left_anti"))
+    if unknown.count <= max_broadcast:
         found = F.col("_member").isNull() & F.col(column).isNotNull()
-        return _flag_members(df, F.broadcast(unknown), column, flag, found)
+        return _flag_members(df, F.broadcast(unknown.keys), column, flag, found)
 
     return _flag_members(df, known.keys, column, flag, F.col("_member").isNotNull())
 
