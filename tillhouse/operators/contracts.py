@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tillhouse.functions.concurrency import run_together
+
 log = logging.getLogger(__name__)
 
 Tables = dict[str, DataFrame]
@@ -95,12 +97,13 @@ def meets_schema(
 
 def require_content(tables: Mapping[str, DataFrame], skip_invalid: bool = False) -> Tables:
     """Tables with at least one row.  An empty table raises, or is left out with ``skip_invalid``."""
-    result: Tables = {}
-    for name, df in tables.items():
-        if not df.isEmpty():
-            result[name] = df
-        elif skip_invalid:
-            log.warning("%s is empty and is left out", name)
-        else:
+    if not tables:
+        return {}
+    spark = next(iter(tables.values())).sparkSession
+    empty = run_together(spark, {name: df.isEmpty for name, df in tables.items()})
+    for name in tables:
+        if empty[name] and not skip_invalid:
             raise ValueError(f"{name} is empty")
-    return result
+        if empty[name]:
+            log.warning("%s is empty and is left out", name)
+    return {name: df for name, df in tables.items() if not empty[name]}

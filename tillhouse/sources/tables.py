@@ -42,12 +42,10 @@ def scan_csv_tables(
     An absent file is skipped.  An unreadable one raises, or is skipped with ``skip_invalid``; ``probe`` reads a row of
     each to find out now rather than when the table is used.
     """
-    tables: dict[str, DataFrame] = {}
-    for file in files:
+
+    def read(file: str) -> DataFrame | None:
         try:
-            df = scan_csv(spark, _below(folder, file))
-            if probe:
-                df.limit(1).collect()
+            return _probed(scan_csv(spark, _below(folder, file)), probe)
         except Exception as error:
             if isinstance(error, AnalysisException) and _is_absent(error):
                 log.warning("%s does not exist and is skipped", file)
@@ -55,25 +53,31 @@ def scan_csv_tables(
                 log.warning("%s cannot be read and is skipped: %s", file, error)
             else:
                 raise
-        else:
-            tables[file.rpartition(".")[0] or file] = df
-    return tables
+            return None
+
+    found = run_together(spark, {file.rpartition(".")[0] or file: partial(read, file) for file in files})
+    return {name: df for name, df in found.items() if df is not None}
 
 
 def scan_parquet_tables(
     spark: SparkSession, folder: str, names: Sequence[str], probe: bool = False
 ) -> dict[str, DataFrame]:
     """All the named tables, or an empty set if any of them is missing or unreadable."""
-    tables: dict[str, DataFrame] = {}
-    for name in names:
-        try:
-            tables[name] = spark.read.parquet(_below(folder, name))
-            if probe:
-                tables[name].limit(1).collect()
-        except Exception as error:
-            log.error("table %s cannot be read from %s: %s", name, folder, error)
-            return {}
-    return tables
+
+    def read(name: str) -> DataFrame:
+        return _probed(spark.read.parquet(_below(folder, name)), probe)
+
+    try:
+        return run_together(spark, {name: partial(read, name) for name in names})
+    except Exception as error:
+        log.error("some of the tables %s cannot be read from %s: %s", list(names), folder, error)
+        return {}
+
+
+def _probed(df: DataFrame, probe: bool) -> DataFrame:
+    if probe:
+        df.limit(1).collect()
+    return df
 
 
 def write_table(df: DataFrame, folder: str, name: str) -> str:

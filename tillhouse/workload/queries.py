@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tillhouse.functions.concurrency import run_together
 from tillhouse.functions.materialize import scratch_path
 from tillhouse.functions.money import to_units
 from tillhouse.operators import contracts, dedup, kpis, loyalty, nulls, rules, sales
@@ -303,8 +304,11 @@ def _export(spark: SparkSession, folder: str, names: list[str]) -> str:
     """A folder with CSV exports of the raw tables."""
     target = scratch_path(spark, "raw")
     raw = src.raw_tables(spark, folder)
-    for name in names:
+
+    def export(name: str) -> None:
         raw[name].write.csv(f"{target}/{name}.csv", header=True)
+
+    run_together(spark, {name: partial(export, name) for name in names})
     return target
 
 
