@@ -9,6 +9,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
@@ -58,7 +59,8 @@ def columns_with_nulls(tables: Mapping[str, DataFrame]) -> dict[str, list[str]]:
 
 
 def drop_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.na.drop(subset=list(columns))
+    """Keep the rows without a null in ``columns``; written as plain predicates, which Parquet scans take over."""
+    return df.where(reduce(and_, [F.col(c).isNotNull() for c in columns])) if columns else df
 
 
 def _fill(df: DataFrame, fills: Mapping[str, Column]) -> DataFrame:
@@ -98,11 +100,14 @@ def apply_null_policy(df: DataFrame, policy: Mapping[str, str], table: str = "ta
     absent = [c for c in policy if c not in df.columns]
     if absent:
         log.warning("%s lacks the columns %s named in its null policy", table, absent)
+    unruled = [c for c in df.columns if c not in policy]
+    if unruled:
+        log.info("%s has no null policy for %s; their nulls stay", table, unruled)
 
     def ruled(name: str) -> list[str]:
         return [c for c in df.columns if policy.get(c) == name]
 
-    result = drop_nulls(df, ruled(DROP)) if ruled(DROP) else df
+    result = drop_nulls(df, ruled(DROP))
     result = fill_empty(fill_unknown(result, ruled(FILL_UNKNOWN)), ruled(FILL_EMPTY))
     return flag_nulls(result, ruled(FLAGGING)) if ruled(FLAGGING) else result
 

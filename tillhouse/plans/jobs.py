@@ -116,15 +116,15 @@ def silver(
 
 
 def gold_tables(
-    orders: DataFrame, order_items: DataFrame, users: DataFrame, totals: DataFrame
+    orders: DataFrame, order_items: DataFrame, users: DataFrame, totals: DataFrame, rank_type: str = "int"
 ) -> dict[str, Callable[[], DataFrame]]:
     """The analytical tables by name, built on call.  ``totals`` are the per-user totals that several of them share."""
     return {
-        "customers_loyalty": lambda: customer_loyalty(orders, totals),
-        "products": lambda: product_sales(order_items),
-        "top_products_per_city": lambda: top_products_per_city(order_items, users),
-        "sales_and_revenues": lambda: daily_sales(orders),
-        "geography": lambda: city_sales(revenue_per_user(totals), users),
+        "customers_loyalty": lambda: customer_loyalty(orders, totals, rank_type),
+        "products": lambda: product_sales(order_items, rank_type=rank_type),
+        "top_products_per_city": lambda: top_products_per_city(order_items, users, rank_type=rank_type),
+        "sales_and_revenues": lambda: daily_sales(orders, rank_type=rank_type),
+        "geography": lambda: city_sales(revenue_per_user(totals), users, rank_type),
         "customer_metrics": lambda: customer_metrics(totals),
         "orders": lambda: order_buckets(orders),
     }
@@ -143,6 +143,7 @@ def gold(
     only_valid: bool = False,
     batch_id: str | None = None,
     as_of: datetime.datetime | None = None,
+    rank_type: str = "int",
 ) -> dict[str, str]:
     """Clean tables to analytical tables and a record in the metrics history; returns the paths written.
 
@@ -168,7 +169,7 @@ def gold(
         append_metrics(run_kpis(orders, order_items, totals, batch_id, as_of), history)
         return history
 
-    builds = gold_tables(orders, order_items, users, totals)
+    builds = gold_tables(orders, order_items, users, totals, rank_type)
     actions = {name: partial(write, name, build) for name, build in builds.items()}
     return run_together(spark, {**actions, "report": record})
 
@@ -181,6 +182,7 @@ def pipeline(
     batch_id: str | None = None,
     as_of: datetime.datetime | None = None,
     only_valid: bool = False,
+    rank_type: str = "int",
     **options,
 ) -> dict[str, str]:
     """All layers below ``target``, under one batch id; returns the paths of the last one."""
@@ -197,4 +199,5 @@ def pipeline(
         only_valid=only_valid,
         batch_id=batch_id,
         as_of=as_of,
+        rank_type=rank_type,
     )
