@@ -59,6 +59,14 @@ def test_daily_sales_ties_gaps_and_zero_means(spark):
     assert second.revenue_ranking < third.revenue_ranking
 
 
+def test_amounts_with_more_decimals_are_rounded_after_adding(spark):
+    rows = [("a", "U1", JULY[1], 0.0049), ("b", "U1", JULY[1], 0.0049)]
+    orders = spark.createDataFrame(rows, "order_id string, user_id string, order_date timestamp, total_amount double")
+    assert sales.daily_sales(orders, scale=4).first().daily_revenue == 0.01
+    assert sales.total_revenue(orders, scale=4).first()[0] == 0.01
+    assert per_user.revenue_per_user(per_user.user_totals(orders, scale=4)).first().revenue_per_user == 0.01
+
+
 def test_only_five_days_are_marked(spark):
     rows = [(str(n), datetime.datetime(2026, 1, n), 7.0) for n in range(1, 9)]
     orders = spark.createDataFrame(rows, "order_id string, order_date timestamp, total_amount double")

@@ -33,7 +33,18 @@ def test_sums_and_means_are_exact(spark, cents):
     assert row.mean == rounded(exact / len(cents))
 
 
-@pytest.mark.parametrize("part, whole, share", [(1, 3, 33.33), (2, 3, 66.67), (-1, 8, -12.5), (1, 16, 6.25), (5, 0, None), (1, -8, -12.5), (-1, -8, 12.5)])
+@pytest.mark.parametrize(
+    "part, whole, share",
+    [
+        (1, 3, 33.33),
+        (2, 3, 66.67),
+        (1, 16, 6.25),
+        (5, 0, None),
+        (-1, 8, -12.5),
+        (1, -8, -12.5),
+        (-1, -8, 12.5),
+    ],
+)
 def test_percent(spark, part, whole, share):
     df = spark.createDataFrame([(part, whole)], "part bigint, whole bigint")
     assert df.select(money.percent(F.col("part"), F.col("whole"))).first()[0] == share

@@ -62,7 +62,8 @@ def test_reference_flags_split_a_hot_key(spark, limits):
 
 def test_reference_flags_do_not_shuffle_rows_for_few_keys_or_few_unknown_values(spark, limits):
     users = all_users(spark)
-    few_unknown = rules.flag_reference(skewed(spark), users.where("user_id <> 'hot'"), "user_id", "found", max_broadcast=10)
+    cold = users.where("user_id <> 'hot'")
+    few_unknown = rules.flag_reference(skewed(spark), cold, "user_id", "found", max_broadcast=10)
     few_keys = rules.flag_reference(skewed(spark), users, "user_id", "found", max_broadcast=20_001)
     for flagged, found in [(few_unknown, ROWS * 2 // 3), (few_keys, ROWS)]:
         assert "Exchange hashpartitioning" not in flagged._jdf.queryExecution().executedPlan().toString()
@@ -77,9 +78,10 @@ def test_city_products_split_a_hot_user(spark, limits):
 
 def test_loyalty_ranks_split_a_common_rhythm(spark, limits):
     """Two thirds of the users have one order, hence one rank."""
+    user = F.when(F.pmod("id", F.lit(3)) > 0, F.col("id")).otherwise(F.col("id") - F.pmod("id", F.lit(12)))
     orders = spark.range(0, ROWS, 1, 8).select(
         F.format_string("o%d", "id").alias("order_id"),
-        F.format_string("u%d", F.when(F.pmod("id", F.lit(3)) > 0, F.col("id")).otherwise(F.col("id") - F.pmod("id", F.lit(12)))).alias("user_id"),
+        F.format_string("u%d", user).alias("user_id"),
         F.timestamp_seconds(F.col("id") * 100 + F.pmod(F.xxhash64("id"), F.lit(1000))).alias("order_date"),
         F.lit(1.0).alias("total_amount"),
     )

@@ -116,14 +116,19 @@ def silver(
 
 
 def gold_tables(
-    orders: DataFrame, order_items: DataFrame, users: DataFrame, totals: DataFrame, rank_type: str = "int"
+    orders: DataFrame,
+    order_items: DataFrame,
+    users: DataFrame,
+    totals: DataFrame,
+    rank_type: str = "int",
+    scale: int = 2,
 ) -> dict[str, Callable[[], DataFrame]]:
     """The analytical tables by name, built on call.  ``totals`` are the per-user totals that several of them share."""
     return {
         "customers_loyalty": lambda: customer_loyalty(orders, totals, rank_type),
-        "products": lambda: product_sales(order_items, rank_type=rank_type),
+        "products": lambda: product_sales(order_items, scale, rank_type),
         "top_products_per_city": lambda: top_products_per_city(order_items, users, rank_type=rank_type),
-        "sales_and_revenues": lambda: daily_sales(orders, rank_type=rank_type),
+        "sales_and_revenues": lambda: daily_sales(orders, scale, rank_type),
         "geography": lambda: city_sales(revenue_per_user(totals), users, rank_type),
         "customer_metrics": lambda: customer_metrics(totals),
         "orders": lambda: order_buckets(orders),
@@ -144,10 +149,12 @@ def gold(
     batch_id: str | None = None,
     as_of: datetime.datetime | None = None,
     rank_type: str = "int",
+    scale: int = 2,
 ) -> dict[str, str]:
     """Clean tables to analytical tables and a record in the metrics history; returns the paths written.
 
-    Rows count whatever their quality flags say, unless ``only_valid`` leaves the flagged ones out.
+    Rows count whatever their quality flags say, unless ``only_valid`` leaves the flagged ones out.  ``scale`` is the
+    number of decimals that amounts carry.
     """
     tables = scan_parquet_tables(spark, source, names)
     if not tables:
@@ -159,7 +166,7 @@ def gold(
         tables = {name: df.where(F.col(OVERALL_FLAG)) for name, df in tables.items()}
 
     orders, order_items, users = tables["orders"], tables["order_items"], tables["users"]
-    totals = materialize(user_totals(orders))
+    totals = materialize(user_totals(orders, scale))
     history = f"{reports.rstrip('/')}/report"
 
     def write(name: str, build: Callable[[], DataFrame]) -> str:
@@ -169,7 +176,7 @@ def gold(
         append_metrics(run_kpis(orders, order_items, totals, batch_id, as_of), history)
         return history
 
-    builds = gold_tables(orders, order_items, users, totals, rank_type)
+    builds = gold_tables(orders, order_items, users, totals, rank_type, scale)
     actions = {name: partial(write, name, build) for name, build in builds.items()}
     return run_together(spark, {**actions, "report": record})
 
@@ -183,6 +190,7 @@ def pipeline(
     as_of: datetime.datetime | None = None,
     only_valid: bool = False,
     rank_type: str = "int",
+    scale: int = 2,
     **options,
 ) -> dict[str, str]:
     """All layers below ``target``, under one batch id; returns the paths of the last one."""
@@ -200,4 +208,5 @@ def pipeline(
         batch_id=batch_id,
         as_of=as_of,
         rank_type=rank_type,
+        scale=scale,
     )

@@ -443,7 +443,7 @@ ORACLES: dict[str, str] = {
         SELECT {money(f'sum({cents("total_amount")})')} AS total_system_revenue, 'batch-1' AS batch_id
         FROM ({ORDERS})
         UNION ALL
-        SELECT {money(f'sum({cents("total_amount")})')}, 'batch-2' FROM ({ORDERS}) WHERE total_amount > 100000
+        SELECT {money(f'sum({cents("total_amount")})')}, 'batch-2' FROM ({GAPPY_ORDERS})
     """,
     "bronze_job": bronze_summary(),
     "silver_job": silver_summary(),
