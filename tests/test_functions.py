@@ -61,6 +61,17 @@ def test_halves_round_away_from_zero(spark):
     assert quotients == [1, -1, 2, 0, -1]
 
 
+def test_values_that_are_no_amounts_are_refused(spark):
+    df = spark.createDataFrame([(float("nan"),)], "amount double")
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
+        df.select(money.to_units(F.col("amount"))).collect()
+
+
+def test_halves_of_a_cent(spark):
+    df = spark.createDataFrame([(0.125,), (-0.125,), (0.5,), (None,)], "amount double")
+    assert [row[0] for row in df.select(money.to_units(F.col("amount"))).collect()] == [13, -13, 50, None]
+
+
 def test_more_decimals_than_cents(spark):
     df = spark.createDataFrame([(0.0049,), (0.0001,), (1.0,)], "amount double")
     units = F.sum(money.to_units(F.col("amount"), 4))

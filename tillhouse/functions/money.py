@@ -13,8 +13,13 @@ WHOLE = "decimal(20,0)"
 
 
 def to_units(amount: Column, scale: int = 2) -> Column:
-    """Whole number of ``10**-scale`` units; ``scale`` is the number of decimals the data carries (2 or more)."""
-    return F.round(amount.cast("double") * F.lit(10**scale)).cast("bigint")
+    """Whole number of ``10**-scale`` units; ``scale`` is the number of decimals the data carries (2 or more).
+
+    The cast cuts off decimals, so adding a half before rounds; ``round`` on doubles costs twice the time, as it goes
+    through decimals.  A value that is no number fails the job in ANSI mode.
+    """
+    units = amount.cast("double") * F.lit(10**scale)
+    return (units + F.when(units < 0, F.lit(-0.5)).otherwise(F.lit(0.5))).cast("bigint")
 
 
 def divide_half_up(numerator: Column, denominator: Column) -> Column:
