@@ -24,7 +24,7 @@ DIMENSIONS = 10
 EPOCHS = 8
 RATE = 0.5
 SAMPLE = 4000  # labelled rows to learn from, at most
-SLICE = 1 << 20  # characters whose features are held at a time
+SLICE = 1 << 18  # characters whose features are held at a time
 BLOCK_BYTES = 8 << 20
 
 _BREAKS = np.array([9, 10, 11, 12, 13, 32], dtype=np.uint32)
