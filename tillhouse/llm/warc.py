@@ -23,6 +23,7 @@ from tillhouse.functions.materialize import stored
 LEAST_REVISIT = 1000  # bytes of a payload from which copies are revisit records
 ARCHIVE_BYTES = 256 << 20
 RANGE_BYTES = 8 << 20  # at most read at once, unless one record is longer
+TASK_BYTES = 32 << 20  # of records for each reading task
 GAP_BYTES = 64 << 10  # bytes between two wanted records that are rather read than skipped
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -196,7 +197,8 @@ def read_records(
     occurs twice is read twice; an empty index gives no rows.
     """
     wanted = index.select("archive", "offset", "length")
-    ordered = wanted.repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
+    tasks = -(-(wanted.agg(F.sum("length")).first()[0] or 1) // TASK_BYTES)  # by what is read: the index itself is small
+    ordered = wanted.repartitionByRange(tasks, "archive", "offset").sortWithinPartitions("archive", "offset")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = _file_system(folder)
