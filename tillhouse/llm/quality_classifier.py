@@ -56,7 +56,8 @@ def _features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         place = at - starts[np.cumsum(begins)[at] - 1]
         words = np.add.reduceat(codes[at] * powers(int(place.max()) + 1)[place], np.flatnonzero(place == 0))
         add(words, starts)
-        again = np.flatnonzero(words[1:] == words[:-1]) + 1
+        own = np.searchsorted(ends, starts, side="right")
+        again = np.flatnonzero((words[1:] == words[:-1]) & (own[1:] == own[:-1])) + 1
         add(np.full(len(again), _AGAIN), starts[again])
     base = powers(max(SIZES))
     for size in SIZES:
