@@ -116,35 +116,49 @@ def measures(text: Column) -> Column:
     )
 
 
+def verdict(text: Column, rules: Sequence[Rule] = RULES) -> Column:
+    """A struct of the measures, ``base_failed``, the names of the rules that the text breaks, and ``kept``.
+
+    One expression that names the measures once: a filter on it, which Spark moves into the scan, computes them once.
+    """
+
+    def judge(m: Column) -> Column:
+        flat = {
+            name: m[name] if inner is None else m[inner][name]
+            for inner, names in (
+                ("words", ("n_words", "word_chars", "n_stop_words", "n_repeat_words")),
+                ("lines", ("n_lines", "n_dup_lines")),
+                (None, ("n_symbols", "n_marks", "n_capitals")),
+            )
+            for name in names
+        }
+        base_failed = (flat["n_words"] < 50) | (flat["n_repeat_words"] * 100 > flat["n_words"] * 50)
+        broken = F.filter(
+            F.array(*(F.when(~rule.holds(flat), F.lit(rule.name)) for rule in rules)).cast("array<string>"),
+            lambda name: name.isNotNull(),
+        )
+        kept = reduce(and_, (rule.holds(flat) for rule in rules), ~base_failed)
+        return F.struct(
+            *(column.alias(name) for name, column in flat.items()),
+            base_failed.alias("base_failed"),
+            broken.alias("broken_rules"),
+            kept.alias("kept"),
+        )
+
+    return let(measures(text), judge)
+
+
 def apply_rules(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
-    """Each row as ``row``, with its measures, ``base_failed``, the names of the rules it breaks, and ``kept``.
+    """Each row as ``row``, with the fields of ``verdict``.
 
     One projection without shuffle, join or user function.  Rows are judged alone: repeated rows get repeated results, an
     empty table an empty one.  Null and empty texts have no words and fail the rule on their number.  Columns of ``docs``
     stay inside ``row``, so their names cannot clash with the measures.
     """
     row = F.struct(*(docs[name] for name in docs.columns)).alias("row")
-    found = docs.select(row, measures(docs[text]).alias("m"))
-    flat = {
-        name: F.col(f"m.{name}") if inner is None else F.col(f"m.{inner}.{name}")
-        for inner, names in (
-            ("words", ("n_words", "word_chars", "n_stop_words", "n_repeat_words")),
-            ("lines", ("n_lines", "n_dup_lines")),
-            (None, ("n_symbols", "n_marks", "n_capitals")),
-        )
-        for name in names
-    }
-    base_failed = (flat["n_words"] < 50) | (flat["n_repeat_words"] * 100 > flat["n_words"] * 50)
-    broken = F.filter(
-        F.array(*(F.when(~rule.holds(flat), F.lit(rule.name)) for rule in rules)), lambda name: name.isNotNull()
-    )
-    judged = found.select(
-        "row", *(column.alias(name) for name, column in flat.items()), base_failed.alias("base_failed"),
-        broken.alias("broken_rules"),
-    )
-    return judged.withColumn("kept", ~F.col("base_failed") & (F.size("broken_rules") == 0))
+    return docs.select(row, verdict(docs[text], rules).alias("verdict")).select("row", "verdict.*")
 
 
 def keep_good(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
     """The rows of ``docs`` that break no rule, unchanged."""
-    return apply_rules(docs, text, rules).where("kept").select("row.*")
+    return docs.where(verdict(docs[text], rules)["kept"])
