@@ -16,52 +16,20 @@ def day(text: str) -> datetime.datetime:
     return datetime.datetime.fromisoformat(text)
 
 
-JULY = {n: day(f"2026-07-0{n}") for n in (1, 2, 3)}
+DAYS = {n: day(f"2026-06-{7 * n:02d}") for n in (1, 2, 3, 4)}
 
-# Twenty orders of ten users over three days; some users order twice at the same instant.
+# Twenty-six orders of the users U01 to U20, some at the same instant, with quarters as the smallest coin.
 ORDER_ROWS = [
-    (f"O{number:02d}", user, JULY[date], float(amount))
-    for number, (user, date, amount) in enumerate(
-        [
-            ("U15", 1, 10),
-            ("U03", 1, 20),
-            ("U02", 1, 30),
-            ("U07", 2, 40),
-            ("U14", 2, 50),
-            ("U01", 2, 60),
-            ("U06", 3, 70),
-            ("U01", 3, 80),
-            ("U04", 3, 90),
-            ("U08", 3, 100),
-            ("U01", 1, 10),
-            ("U03", 1, 20),
-            ("U02", 1, 30),
-            ("U07", 2, 40),
-            ("U02", 2, 50),
-            ("U01", 2, 60),
-            ("U06", 3, 70),
-            ("U05", 3, 80),
-            ("U04", 3, 90),
-            ("U08", 3, 100),
-        ],
-        start=1,
-    )
+    (f"O{n:02d}", f"U{(n * 7) % 20 + 1:02d}", DAYS[(n * n + n // 3) % 4 + 1], 5.25 + 13.5 * ((n * 11) % 17))
+    for n in range(1, 27)
 ]
 
-# U01 to U20 in three cities.
-CITIES = {
-    f"U{number:02d}": city
-    for number, city in enumerate(
-        "C2 C2 C3 C1 C2 C2 C1 C2 C3 C1 C2 C2 C1 C2 C3 C1 C2 C2 C1 C2".split(),
-        start=1,
-    )
-}
+# U01 to U24, the last of them without orders, in four cities of different size.
+CITIES = {f"U{n:02d}": "Oslo Turin Lima Quito".split()[(n * n + n // 5) % 4] for n in range(1, 25)}
 
-# Twenty order lines of three users and three products; only the first order has two products.
-ITEM_ROWS = [
-    (f"I{n:02d}", f"X{max(n - 1, 1):02d}", f"P{(n - 1) % 3 + 1}", f"U{(n - 1) % 3 + 1:02d}", (n - 1) % 3 + 1)
-    for n in range(1, 21)
-]
+# Order lines (item, order, product, user, quantity): some orders have several products.
+ITEM_ROWS = [(f"I{n:02d}", f"O{(n * 5) % 18 + 1:02d}", f"P{n * n % 5 % 3 + 1}", f"U{n % 9 + 1:02d}", 1 + n * 3 % 4) for n in range(1, 26)]
+ITEM_PRICES = [1.5 * (n % 6) + 2.25 for n in range(1, 26)]
 
 
 @pytest.fixture
@@ -77,7 +45,7 @@ def users(spark):
 
 @pytest.fixture
 def order_items(spark):
-    rows = [(*row, float(number), float(number * row[4])) for number, row in zip([1, *range(2, 21)], ITEM_ROWS)]
+    rows = [(*row, price, price * row[4]) for row, price in zip(ITEM_ROWS, ITEM_PRICES)]
     schema = (
         "order_item_id string, order_id string, product_id string, user_id string, "
         "quantity int, item_price double, item_total double"

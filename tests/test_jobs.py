@@ -1,12 +1,14 @@
 """Sources, sinks and the layer jobs, over temporary folders."""
 
 import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.testing import assertDataFrameEqual
 
 from tests.conftest import CITIES, ITEM_ROWS, ORDER_ROWS
+from tests.test_analytics import cents, sums
 from tillhouse.functions.concurrency import run_together
 from tillhouse.operators import loyalty, products
 from tillhouse.operators import users as per_user
@@ -30,7 +32,7 @@ def raw(tmp_path):
         "users": [(u, f"name {u}", None, "female", city, "2025-01-01") for u, city in CITIES.items()],
         "products": [(f"P{n}", "thing", "toys", None, 2.5, None if n == 1 else 4.5) for n in (1, 2, 3)],
         "orders": [(o, u, at, "completed", amount) for o, u, at, amount in ORDER_ROWS]
-        + [("O21", None, STAMP, None, 40.0), (None, "U01", STAMP, "shipped", 1.0), ("O01", "U15", STAMP, None, 10.0)],
+        + [("O90", None, STAMP, None, 40.0), (None, "U01", STAMP, "shipped", 1.0), ("O01", "U15", STAMP, None, 10.0)],
         "order_items": [
             (item, f"O{n:02d}", product, user, quantity, 1.5, 3.0)
             for n, (item, _, product, user, quantity) in enumerate(ITEM_ROWS, start=1)
@@ -80,20 +82,17 @@ def test_parquet_sets_are_all_or_nothing(spark, tmp_path):
 
 
 def test_report_is_replaced(spark, tmp_path):
-    first = spark.createDataFrame([("P1", 5), ("P2", 2)], "product_id string, quantity bigint")
-    second = spark.createDataFrame([("P3", 7)], first.schema)
-    for report in (first, second):
-        path = io.write_table(report, str(tmp_path), "report")
-        assertDataFrameEqual(spark.read.parquet(path), report)
+    for size in (40, 3, 0):
+        report = spark.range(size).select("id", F.format_string("row %d of the report", "id").alias("line"))
+        assertDataFrameEqual(spark.read.parquet(io.write_table(report, str(tmp_path), "lines")), report)
 
 
 def test_metrics_history_grows(spark, tmp_path):
-    schema = "active_users_count bigint, avg_orders double"
-    path = str(tmp_path / "history")
-    rows = [(10, None), (20, 2.5)]
-    for number, row in enumerate(rows, start=1):
-        io.append_metrics(spark.createDataFrame([row], schema), path)
-        assert sorted(io.read_metrics(spark, path, schema).collect()) == rows[:number]
+    path = str(tmp_path / "runs")
+    runs = [(f"run {n}", None if n % 2 else n / 8) for n in range(3)]
+    for n in range(len(runs)):
+        io.append_metrics(spark.createDataFrame(runs[n : n + 1], "batch string, share double"), path)
+        assert sorted(io.read_metrics(spark, path, "batch string, share double").collect()) == runs[: n + 1]
 
 
 def test_actions_run_together(spark):
@@ -107,7 +106,7 @@ def test_bronze(spark, raw, tmp_path):
     assert set(paths) == set(policies.TABLES)
     orders = spark.read.parquet(paths["orders"])
     assert orders.columns == [*policies.COLUMNS["orders"], "batch_id", "ingestion_time"]
-    assert orders.count() == 23
+    assert orders.count() == len(ORDER_ROWS) + 3
     assert [tuple(row) for row in orders.select("batch_id", "ingestion_time").distinct().collect()] == [("b1", AS_OF)]
 
 
@@ -123,11 +122,11 @@ def test_silver(spark, raw, tmp_path):
     tables = {name: spark.read.parquet(path) for name, path in paths.items()}
 
     orders = {row.order_id: row for row in tables["orders"].collect()}
-    assert len(orders) == 21
+    assert len(orders) == len(ORDER_ROWS) + 1
     # Of two equally complete rows for O01 the earlier order date comes first.
     assert orders["O01"].order_status == "completed" and orders["O01"].business_overall_correct
-    assert (orders["O21"].missing_values, orders["O21"].order_status) == ("user_id", "unknown")
-    assert (orders["O21"].df_users_ref, orders["O21"].correct_order_status) == (False, False)
+    assert (orders["O90"].missing_values, orders["O90"].order_status) == ("user_id", "unknown")
+    assert (orders["O90"].df_users_ref, orders["O90"].correct_order_status) == (False, False)
     assert spark.read.parquet(f"{rejected}/orders").select("order_id").collect() == [("O01",)]
 
     events = {row.event_id: row for row in tables["events"].collect()}
@@ -175,10 +174,12 @@ def test_pipeline(spark, raw, tmp_path):
     assert [row.batch_id for row in history.orderBy("batch_id").collect()] == ["b1", "b2"]
     record = history.first()
     # The order without a user counts as one more user and one more order.
-    assert record.active_users_count == 10
-    assert record.avg_orders_count_per_user == 1.91
+    spent = sums([*((row[1], row[3]) for row in ORDER_ROWS), (None, 40)])
+    assert record.active_users_count == len(spent) - 1
+    assert record.avg_orders_count_per_user == cents(Decimal(len(ORDER_ROWS) + 1) / len(spent))
     assert record.big_orders_share == 0.0
-    assert record.share_top_users_in_total_revenue == 18.42
+    top = sum(sorted(spent.values())[-(len(spent) // 10) :])
+    assert record.share_top_users_in_total_revenue == cents(top / sum(spent.values()) * 100)
 
     silver = io.scan_parquet_tables(spark, f"{target}/silver", policies.TABLES)
     saved = {name: spark.read.parquet(path) for name, path in paths.items() if name != "report"}
@@ -192,8 +193,8 @@ def test_gold_over_valid_rows_only(spark, raw, tmp_path):
     target = str(tmp_path / "out")
     paths = jobs.pipeline(spark, raw, target, as_of=AS_OF, only_valid=True)
     orders = spark.read.parquet(paths["orders"])
-    assert orders.count() == 20
-    assert orders.where(F.col("order_id") == "O21").isEmpty()
+    assert orders.count() == len(ORDER_ROWS)
+    assert orders.where(F.col("order_id") == "O90").isEmpty()
 
 
 def test_gold_checks_the_schema(spark, tmp_path):

@@ -45,22 +45,27 @@ def loyalty_ranks(totals: DataFrame, rank_type: str = "int") -> DataFrame:
 
 def previous_dates(orders: DataFrame) -> DataFrame:
     """Add ``prev_order_date`` to the orders of users whose orders each fit into one task."""
-    by_date = Window.partitionBy("user_id").orderBy(F.asc_nulls_first("order_date"), F.asc_nulls_first("order_id"))
+    by_date = Window.partitionBy("user_id").orderBy(*map(F.asc_nulls_first, ("order_date", "order_id", "total_amount")))
     return orders.withColumn("prev_order_date", F.lag("order_date").over(by_date))
 
 
 def previous_dates_of_large_groups(orders: DataFrame) -> DataFrame:
-    """The same for users with any number of orders, who are never gathered in one task; order ids must be unique.
+    """The same for users with any number of orders, who are never gathered in one task.
+
+    Rows that agree in id, date and amount are counted rather than told apart, and one of them is the first.
 
     Orders of one user at one instant follow each other without distance, except that the first of them looks back to
     the user's previous instant.  So only the distinct instants need an order: within spans of a minute, plus the last
     instant of the preceding span.  A span has a bounded number of instants, and a user as many spans as the data has
     minutes, however many orders there are.
     """
+    place = F.struct("order_id", "total_amount")  # nulls are the smallest
+    rest = [name for name in orders.columns if name not in ("user_id", "order_date", "order_id", "total_amount")]
+    distinct = orders.groupBy("user_id", "order_date", "order_id", "total_amount", *rest).agg(F.count("*").alias("_copies"))
     instants = (
         orders.where(F.col("order_date").isNotNull())
         .groupBy("user_id", "order_date")
-        .agg(F.min("order_id").alias("_first_id"))
+        .agg(F.min(place).alias("_first"))
         .withColumn("_span", F.date_trunc(SPAN, "order_date"))
     )
     spans = instants.groupBy("user_id", "_span").agg(F.max("order_date").alias("_last"))
@@ -76,14 +81,17 @@ def previous_dates_of_large_groups(orders: DataFrame) -> DataFrame:
         .select(
             F.col("user_id").alias("_step_user"),
             F.col("order_date").alias("_instant"),
-            "_first_id",
+            "_first",
             F.coalesce("_within", "_last_before").alias("_previous"),
         )
     )
     same = F.col("user_id").eqNullSafe(F.col("_step_user")) & (F.col("order_date") == F.col("_instant"))
-    first = F.col("order_id").eqNullSafe(F.col("_first_id"))
-    return orders.join(steps, same, "left").select(
-        *orders.columns, F.when(first, F.col("_previous")).otherwise(F.col("order_date")).alias("prev_order_date")
+    first = F.col("order_id").eqNullSafe(F.col("_first.order_id")) & (F.col("_copy") == 1)
+    first = first & F.col("total_amount").eqNullSafe(F.col("_first.total_amount"))
+    return (
+        distinct.join(steps, same, "left")
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
+        .select(*orders.columns, F.when(first, F.col("_previous")).otherwise(F.col("order_date")).alias("prev_order_date"))
     )
 
 

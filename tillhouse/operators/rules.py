@@ -111,20 +111,20 @@ def _parsed_rules(
 ) -> list[Rule]:
     """The table's rules, after checking that each of them can be applied."""
     if not rules:
-        raise ValueError(f"No business rules configured for table {table}")
+        raise ValueError(f"{table} has no rules to be judged by")
     parsed: list[Rule] = []
     for column, text in rules.items():
         if column not in df.columns:
-            raise ValueError(f"Missing column for validation: {table}.{column}")
+            raise ValueError(f"a rule names a column that is not there: {table} has no column {column}")
         rule = parse_rule(column, text)
         if rule is None:
-            raise ValueError(f"Unknown rule {text!r} for {table}.{column}")
+            raise ValueError(f"{text!r}, given for {table}.{column}, is not a rule")
         if rule.parent is not None and (rule.parent not in parents or column not in parents[rule.parent].columns):
-            raise ValueError(f"Cannot execute rule {text!r} for {table}.{column}: no such column in {rule.parent}")
+            raise ValueError(f"{table}.{column} refers to {rule.parent}, which does not have that column")
         if rule.kind == IN_ENUM and column not in enums:
-            raise ValueError(f"Cannot execute rule {text!r} for {table}.{column}: no values configured")
+            raise ValueError(f"{table}.{column} has no list of values to be one of")
         if any(rule.flag == other.flag for other in parsed):
-            raise ValueError(f"Cannot execute rule {text!r} for {table}.{column}: {rule.flag} is already in use")
+            raise ValueError(f"two rules of {table} would both write {rule.flag}; the second is that of {column}")
         parsed.append(rule)
     return parsed
 

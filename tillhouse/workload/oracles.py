@@ -434,6 +434,7 @@ ORACLES: dict[str, str] = {
     "multi_product_share": f"SELECT {multi_share(ORDERS, ORDER_ITEMS)} AS big_orders_share",
     "customer_loyalty": loyalty(ORDERS),
     "customer_loyalty_with_gaps": loyalty(f"SELECT * FROM ({GAPPY_ORDERS}) WHERE order_id IS NOT NULL"),
+    "customer_loyalty_large_groups": loyalty(f"SELECT * FROM ({GAPPY_ORDERS}) WHERE order_id IS NOT NULL"),
     "run_kpis": f"SELECT {timestamp(AS_OF)} AS timestamp, * FROM ({kpis(ORDERS, ORDER_ITEMS)})",
     "csv_scan": as_text("orders"),
     "parquet_scan": "SELECT * FROM customer",

@@ -274,8 +274,8 @@ def _micros(interval: str) -> Column:
     return F.unix_micros(F.timestamp_micros(F.lit(0)) + F.col(interval)).alias(f"{interval}_us")
 
 
-def _loyalty(orders: DataFrame) -> DataFrame:
-    result = loyalty.customer_loyalty(orders, rank_type="bigint")
+def _loyalty(orders: DataFrame, **options) -> DataFrame:
+    result = loyalty.customer_loyalty(orders, rank_type="bigint", **options)
     intervals = ("orders_interval", "avg_interval")
     return result.select(*[c for c in result.columns if c not in intervals], *map(_micros, intervals))
 
@@ -291,6 +291,12 @@ def customer_loyalty_with_gaps(spark, folder):
     return _loyalty(nulls.drop_nulls(src.gappy_orders(spark, folder), ["order_id"]))
 
 
+@query
+def customer_loyalty_large_groups(spark, folder):
+    """The same on the path of users with too many orders for one task, here taken by all."""
+    return _loyalty(nulls.drop_nulls(src.gappy_orders(spark, folder), ["order_id"]), min_large_group=0)
+
+
 @query
 def run_kpis(spark, folder):
     orders, items = src.orders(spark, folder), src.order_items(spark, folder)
