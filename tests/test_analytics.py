@@ -6,7 +6,7 @@ from decimal import ROUND_HALF_UP, Decimal
 from random import Random
 
 import pytest
-from pyspark.sql import Row
+from pyspark.sql import Row, functions as F
 from pyspark.testing import assertDataFrameEqual
 
 from tests.conftest import CITIES, DAYS, ITEM_PRICES, ITEM_ROWS, ORDER_ROWS
@@ -97,9 +97,9 @@ def test_daily_sales_ties_gaps_and_zero_means(spark):
 def test_amounts_with_more_decimals_are_rounded_after_adding(spark):
     rows = [("a", "U1", DAYS[1], 0.0049), ("b", "U1", DAYS[1], 0.0049)]
     orders = spark.createDataFrame(rows, "order_id string, user_id string, order_date timestamp, total_amount double")
-    assert sales.daily_sales(orders, scale=4).first().daily_revenue == 0.01
-    assert sales.total_revenue(orders, scale=4).first()[0] == 0.01
-    assert per_user.revenue_per_user(per_user.user_totals(orders, scale=4)).first().revenue_per_user == 0.01
+    assert sales.daily_sales(orders).first().daily_revenue == 0.01
+    assert sales.total_revenue(orders).first()[0] == 0.01
+    assert per_user.revenue_per_user(per_user.user_totals(orders)).first().revenue_per_user == 0.01
 
 
 def test_only_five_days_are_marked(spark):
@@ -123,6 +123,19 @@ def test_city_sales(spark, orders, users):
     )
 
 
+@pytest.mark.parametrize("users", [10, 57, 40_000])
+def test_top_users_share_equals_a_ranking(spark, users):
+    """Some amounts are shared by many users, also at the boundary of the top tenth, and some are unknown."""
+    generator = Random(users)
+    values = [generator.choice([None, 5.25, 80.0, 80.0, generator.randrange(10_000) / 100]) for _ in range(users)]
+    best = sorted((Decimal(str(v)) for v in values if v is not None), reverse=True)
+    expected = sum(best[: users // 10]) * 100 / sum(best)
+    revenue = spark.createDataFrame([(n, v) for n, v in enumerate(values)], "user_id int, revenue_per_user double")
+    assert per_user.top_users_share(revenue.repartition(5)).first()[0] == float(expected.quantize(Decimal("0.01"), ROUND_HALF_UP))
+    unknown = revenue.withColumn("revenue_per_user", F.lit(None).cast("double"))
+    assert per_user.top_users_share(unknown).first()[0] is None
+
+
 def test_top_users_share(spark, orders):
     revenue = per_user.revenue_per_user(per_user.user_totals(orders))
     top = sum(sorted(SPENT.values())[-(len(SPENT) // 10) :])

@@ -79,16 +79,15 @@ def test_more_decimals_than_cents(spark):
     assert tuple(row) == (1.01, 0.34)
 
 
-@pytest.mark.parametrize("one_task_rows", [0, 500])
 @pytest.mark.parametrize("partitions", [1, 5])
-def test_global_row_numbers(spark, partitions, one_task_rows):
+def test_global_row_numbers(spark, partitions):
     """Most rows share one value, which must not hold them together."""
     generator = random.Random(7)
     rows = [(key, generator.choice([None, 1, 1, 1, 1, 2, 3])) for key in range(500)]
     generator.shuffle(rows)
     df = spark.createDataFrame(rows, "key int, value int").repartition(partitions)
     by_value = [F.desc_nulls_last("value"), F.asc("key")]
-    ranked = global_row_numbers(df, {"place": by_value, "reverse": [F.desc("key")]}, one_task_rows)
+    ranked = global_row_numbers(df, {"place": by_value, "reverse": [F.desc("key")]})
     ordered = sorted(rows, key=lambda row: (row[1] is None, -(row[1] or 0), row[0]))
     assert sorted((row.place, row.key) for row in ranked.collect()) == [
         (place, row[0]) for place, row in enumerate(ordered, start=1)
@@ -97,10 +96,9 @@ def test_global_row_numbers(spark, partitions, one_task_rows):
     assert ranked.dtypes == [("key", "int"), ("value", "int"), ("place", "bigint"), ("reverse", "bigint")]
 
 
-@pytest.mark.parametrize("one_task_rows", [-1, 0])
-def test_global_row_numbers_of_nothing(spark, one_task_rows):
+def test_global_row_numbers_of_nothing(spark):
     empty = spark.range(0).toDF("key")
-    assert global_row_numbers(empty, {"place": [F.asc("key")]}, one_task_rows).collect() == []
+    assert global_row_numbers(empty, {"place": [F.asc("key")]}).collect() == []
 
 
 def test_hot_keys(spark):

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from tillhouse.functions.materialize import materialize
 
-MAX_BROADCAST_KEYS = 500_000  # tens of megabytes
+MAX_BROADCAST_KEYS = 500_000  # tens of megabytes of hash table
+MAX_BROADCAST_BYTES = 32 << 20  # of the keys as text
 
 HOT_KEY_LIMIT = 100_000  # at most this many keys can each hold more than 1/100,000 of all rows
 MIN_HOT_ROWS = 1_000_000  # a group below this size is never worth splitting
@@ -16,15 +17,21 @@ MIN_HOT_ROWS = 1_000_000  # a group below this size is never worth splitting
 
 @dataclass(frozen=True)
 class KeySet:
-    """A table of distinct keys, computed once, and how many there are."""
+    """A table of distinct keys, computed once, how many there are, and their size as text."""
 
     keys: DataFrame
     count: int
+    size: int = 0
 
     @classmethod
     def of(cls, keys: DataFrame) -> KeySet:
         computed = materialize(keys)
-        return cls(computed, computed.count())
+        size = F.sum(F.octet_length(F.concat_ws("", *[F.col(name).cast("string") for name in keys.columns])))
+        return cls(computed, *computed.agg(F.count("*"), F.coalesce(size, F.lit(0))).first())
+
+    def fits(self, max_keys: int = MAX_BROADCAST_KEYS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+        """Whether the keys may be broadcast."""
+        return self.count <= max_keys and self.size <= max_bytes
 
 
 def hot_keys(sizes: DataFrame, key: str, rows: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Row numbers over a whole table without sending a large one to one task."""
+"""Row numbers over a whole table without sending it to one task."""
 
 from __future__ import annotations
 
@@ -8,24 +8,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillhouse.functions.materialize import materialize
 
-ONE_TASK_ROWS = 1_000_000  # up to this size one task ranks a table within seconds
-
 _ROW_BITS = 33  # monotonically_increasing_id(): partition number above, row number within the partition below
 
 
-def global_row_numbers(
-    df: DataFrame, orders: Mapping[str, list[Column]], one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
+def global_row_numbers(df: DataFrame, orders: Mapping[str, list[Column]]) -> DataFrame:
     """Add one bigint column per entry of ``orders``: the position of each row, from 1, in that order.
 
     An order should end with a unique key: it makes the result repeatable, and it lets Spark's range partitioner split
-    a value that many rows share.  The table is computed once and counted.  A small one is ranked by plain windows, any
-    other by distributed sorts.
+    a value that many rows share.  A table of any size takes the same way, one distributed sort per order.
     """
-    table = materialize(df)
-    if table.count() <= one_task_rows:
-        numbers = {name: F.row_number().over(Window.orderBy(*order)) for name, order in orders.items()}
-        return table.withColumns({name: number.cast("bigint") for name, number in numbers.items()})
+    table = materialize(df)  # the sort reads it twice, first to choose its ranges
     for name, order in orders.items():
         table = _number_by_sorting(table, order, name)
     return table

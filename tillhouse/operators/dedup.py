@@ -1,7 +1,7 @@
 """De-duplication by key.
 
 Of the rows with one key the survivor is the most complete one, then the latest ingested, then the first in a fixed
-order of the remaining columns.  Only rows that agree in all of that are interchangeable, so the outcome does not
+order of the remaining columns, the batch at last.  Only rows that agree in all of that are interchangeable, so the outcome does not
 depend on how the input was partitioned.
 """
 
@@ -32,7 +32,9 @@ def completeness(df: DataFrame) -> Column:
 def survivor_order(df: DataFrame, keys: Sequence[str]) -> list[Column]:
     fixed = {*keys, BATCH_ID, INGESTION_TIME, FLAG_COLUMN}
     latest = [F.desc_nulls_last(INGESTION_TIME)] if INGESTION_TIME in df.columns else []
-    return [F.desc("_score"), *latest, *[F.asc_nulls_last(c) for c in sorted(set(df.columns) - fixed)]]
+    others = sorted(set(df.columns) - fixed)
+    batch = [BATCH_ID] if BATCH_ID in set(df.columns) - set(keys) else []
+    return [F.desc("_score"), *latest, *[F.asc_nulls_last(c) for c in [*others, *batch]]]
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> KeySet:
@@ -60,7 +62,7 @@ def keep_survivors(
     to broadcast, rows with a key of their own, usually nearly all, pass without a shuffle; only the others are ranked.
     That reads the table twice, and pays off for a large table with few copies.
     """
-    if repeated is None or repeated.count > max_broadcast:
+    if repeated is None or not repeated.fits(max_broadcast):
         return _first_per_key(df, keys)
     if repeated.count == 0:
         return df
@@ -109,14 +111,21 @@ def reject_copies(
     repeated = repeated_keys(df, keys) if repeated is None else repeated
     if repeated.count == 0:
         return df.where(F.lit(False))
-    copies = df if repeated.count > max_broadcast else _rows_with(df, keys, repeated, "left_semi")
+    copies = _rows_with(df, keys, repeated, "left_semi") if repeated.fits(max_broadcast) else df
     return mark_survivors(copies, keys, "_kept").where(~F.col("_kept")).drop("_kept")
 
 
 def deduplicate(
-    tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]
+    tables: Mapping[str, DataFrame],
+    keys: Mapping[str, Sequence[str]],
+    counted: Mapping[str, DataFrame] | None = None,
+    max_broadcast: int = MAX_BROADCAST_KEYS,
 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """``(kept, rejected)`` table sets.  A table without keys, or lacking a key column, passes through unchanged."""
+    """``(kept, rejected)`` table sets.  A table without keys, or lacking a key column, passes through unchanged.
+
+    ``counted`` are tables that have at least these keys and are cheaper to read, such as those before their null policy;
+    a key that is repeated only there does no harm.
+    """
     if not keys:
         log.error("no de-duplication keys are configured")
         return {}, {}
@@ -127,7 +136,9 @@ def deduplicate(
     if not usable:
         return dict(tables), {}
     spark = next(iter(usable.values())).sparkSession
-    repeated = run_together(spark, {name: partial(repeated_keys, df, keys[name]) for name, df in usable.items()})
-    kept = {name: keep_survivors(df, keys[name], repeated[name]) for name, df in usable.items()}
-    rejected = {name: reject_copies(df, keys[name], repeated[name]) for name, df in usable.items()}
+    repeated = run_together(
+        spark, {name: partial(repeated_keys, (counted or tables)[name], keys[name]) for name in usable}
+    )
+    kept = {name: keep_survivors(df, keys[name], repeated[name], max_broadcast) for name, df in usable.items()}
+    rejected = {name: reject_copies(df, keys[name], repeated[name], max_broadcast) for name, df in usable.items()}
     return {name: kept.get(name, df) for name, df in tables.items()}, rejected

@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from tillhouse.functions.materialize import materialize
-from tillhouse.functions.money import percent
+from tillhouse.functions.money import SCALE, percent
 from tillhouse.operators.orders import multi_product_orders
 from tillhouse.operators.users import active_users_expr, avg_orders_expr, revenue_per_user, top_users_share, user_totals
 
@@ -18,12 +18,13 @@ def run_kpis(
     totals: DataFrame | None = None,
     batch_id: str | None = None,
     as_of: datetime.datetime | None = None,
+    scale: int = SCALE,
 ) -> DataFrame:
     """One row with all scalar metrics, nothing of which passes through the driver.
 
     Everything about orders comes from the per-user totals, so the orders themselves are read once.
     """
-    totals = materialize(user_totals(orders)) if totals is None else totals
+    totals = materialize(user_totals(orders, scale)) if totals is None else totals
     share = top_users_share(revenue_per_user(totals)).scalar()
     many = multi_product_orders(order_items).scalar()
     order_rows = F.coalesce(F.sum("order_rows"), F.lit(0))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillhouse.functions.keys import MIN_HOT_ROWS, hot_keys
 from tillhouse.functions.materialize import materialize
-from tillhouse.functions.money import money
+from tillhouse.functions.money import SCALE, money
 from tillhouse.functions.ranking import global_row_numbers
 from tillhouse.operators.users import user_totals
 
@@ -100,6 +100,7 @@ def customer_loyalty(
     totals: DataFrame | None = None,
     rank_type: str = "int",
     min_large_group: int = MIN_HOT_ROWS,
+    scale: int = SCALE,
 ) -> DataFrame:
     """Every order with its user's order count, total, mean interval and loyalty rank, the previous order's date and
     the interval since then.
@@ -107,7 +108,7 @@ def customer_loyalty(
     The orders are shuffled once, by user, for the join with the user attributes and the look at the previous order
     alike.  Orders of the few users too large for that, and those without a user, take the other path.
     """
-    totals = materialize(user_totals(orders)) if totals is None else totals
+    totals = materialize(user_totals(orders, scale)) if totals is None else totals
     attributes = loyalty_ranks(totals, rank_type)
     large = hot_keys(totals, "user_id", "order_rows", min_large_group).select(F.col("user_id").alias("_large"))
     rows = orders.select("user_id", "order_id", "order_date", "total_amount")

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tillhouse.functions.money import money, to_units, units_to_cents
+from tillhouse.functions.money import SCALE, money, total_units, units_to_cents
 from tillhouse.functions.ranking import global_row_numbers
 
 TOP_PRODUCTS = 10  # fixed value: the length of each city's list
 
 
-def product_sales(order_items: DataFrame, scale: int = 2, rank_type: str = "int") -> DataFrame:
+def product_sales(order_items: DataFrame, scale: int = SCALE, rank_type: str = "int") -> DataFrame:
     """Quantity and revenue per product, with a rank over all products for each."""
     totals = order_items.groupBy("product_id").agg(
         F.sum("quantity").alias("sold_count"),
-        units_to_cents(F.sum(to_units(F.col("item_total"), scale)), scale).alias("_cents"),
+        units_to_cents(total_units(F.col("item_total"), scale), scale).alias("_cents"),
     )
     product = F.asc_nulls_first("product_id")
     ranks = {

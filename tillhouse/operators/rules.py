@@ -89,12 +89,12 @@ def flag_reference(
     ``values`` is a table that has all values of the column and is cheaper to compute than ``df``.
     """
     known = parent if isinstance(parent, KeySet) else key_set(parent, column)
-    if known.count <= max_broadcast:
+    if known.fits(max_broadcast):
         return _flag_members(df, F.broadcast(known.keys), column, flag, F.col("_member").isNotNull())
 
     referred = (df if values is None else values).select(column).where(F.col(column).isNotNull()).distinct()
     unknown = KeySet.of(referred.join(known.keys, column, "left_anti"))
-    if unknown.count <= max_broadcast:
+    if unknown.fits(max_broadcast):
         found = F.col("_member").isNull() & F.col(column).isNotNull()
         return _flag_members(df, F.broadcast(unknown.keys), column, flag, found)
 

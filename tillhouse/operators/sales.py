@@ -4,27 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tillhouse.functions.money import from_cents, mean_cents, money, percent, to_units
+from tillhouse.functions.money import SCALE, from_cents, mean_cents, money, percent, total_units
 
 TOP_DAYS = 5  # fixed value: the best days that get a mark
 
 
-def total_revenue(orders: DataFrame, scale: int = 2) -> DataFrame:
-    return orders.agg(money(F.sum(to_units(F.col("total_amount"), scale)), scale).alias("total_system_revenue"))
+def total_revenue(orders: DataFrame, scale: int = SCALE) -> DataFrame:
+    return orders.agg(money(total_units(F.col("total_amount"), scale), scale).alias("total_system_revenue"))
 
 
-def daily_sales(orders: DataFrame, scale: int = 2, rank_type: str = "int") -> DataFrame:
+def daily_sales(orders: DataFrame, scale: int = SCALE, rank_type: str = "int") -> DataFrame:
     """Revenue, mean order value and order count per day, the day's revenue rank, and the change of the mean against
     the previous day with orders.
 
     Orders without a date form a day of their own, which comes first.  The windows run over one row per calendar day,
     so a single task is enough for any number of orders.
     """
-    units = to_units(F.col("total_amount"), scale)
+    amount = F.col("total_amount")
     per_day = (
         orders.groupBy(F.to_date("order_date").alias("order_day"))
         .agg(
-            F.sum(units).alias("_units"), F.count(units).alias("_amounts"), F.count("order_id").alias("order_count")
+            total_units(amount, scale).alias("_units"),
+            F.count(amount).alias("_amounts"),
+            F.count("order_id").alias("order_count"),
         )
         .withColumn("_mean", mean_cents(F.col("_units"), F.col("_amounts"), scale))
     )

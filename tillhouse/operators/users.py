@@ -6,24 +6,25 @@ costs one row per map task.  The group of orders without a user is kept, as a nu
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillhouse.functions.money import mean_cents, money, percent, to_units, units_to_cents
-from tillhouse.functions.ranking import global_row_numbers
+from tillhouse.functions.materialize import materialize
+from tillhouse.functions.money import SCALE, from_cents, mean_cents, money, percent, to_units, total_units, units_to_cents
 
 # The segment names and their lower bounds, exclusive, in currency.
 HIGH_ABOVE, MEDIUM_ABOVE = 5000, 2000
 HIGH, MEDIUM, LOW = "high", "medium", "low"
 
+BOUNDARY_WIDTH = 1e-4  # of all users, on each side of the top tenth's boundary
 MIN_USERS_FOR_SHARE = 10  # fixed value: with fewer users the top tenth is empty and its share is 0
 
 
-def user_totals(orders: DataFrame, scale: int = 2) -> DataFrame:
+def user_totals(orders: DataFrame, scale: int = SCALE) -> DataFrame:
     """One row per user: counts of orders, the amount in cents, and the span of the order dates."""
     return orders.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("order_rows"),
         F.count("order_id").alias("orders_count"),
-        F.sum(to_units(F.col("total_amount"), scale)).alias("_units"),
+        total_units(F.col("total_amount"), scale).alias("_units"),
         F.count("order_date").alias("dated_orders"),
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
@@ -59,7 +60,7 @@ def active_users_expr() -> Column:
 
 def avg_orders_expr() -> Column:
     """Mean orders per user; the null user, if there is one, counts as a user."""
-    return money(mean_cents(F.sum("orders_count") * 100, F.count(F.lit(1))))
+    return from_cents(mean_cents(F.sum("orders_count") * 100, F.count(F.lit(1))))
 
 
 def avg_orders_per_user(totals: DataFrame) -> DataFrame:
@@ -69,7 +70,7 @@ def avg_orders_per_user(totals: DataFrame) -> DataFrame:
 def city_sales(revenue: DataFrame, users: DataFrame, rank_type: str = "int") -> DataFrame:
     """Revenue, buying users and mean revenue per user by city, with a rank for the first two.
 
-    Both sides of the join have one row per user.
+    Both sides of the join have one row per user.  The ranks are windows over one row per city.
     """
     cents = to_units(F.col("revenue_per_user"))
     per_city = (
@@ -78,35 +79,47 @@ def city_sales(revenue: DataFrame, users: DataFrame, rank_type: str = "int") ->
         .agg(F.sum(cents).alias("_cents"), F.count("user_id").alias("users_count"), F.count(cents).alias("_amounts"))
     )
     city = F.asc_nulls_first("city")
-    ranks = {
-        "_revenue_rank": [F.desc_nulls_last("_cents"), city],
-        "_users_rank": [F.desc("users_count"), city],
-    }
-    return global_row_numbers(per_city, ranks).select(
+    by_revenue = Window.orderBy(F.desc_nulls_last("_cents"), city)
+    by_users = Window.orderBy(F.desc("users_count"), city)
+    return per_city.select(
         "city",
         money(F.col("_cents")).alias("revenue_per_city"),
         "users_count",
-        money(mean_cents(F.col("_cents"), F.col("_amounts"))).alias("avg_per_user"),
-        F.col("_revenue_rank").cast(rank_type).alias("revenue_per_city_ranking"),
-        F.col("_users_rank").cast(rank_type).alias("users_count_ranking"),
+        from_cents(mean_cents(F.col("_cents"), F.col("_amounts"))).alias("avg_per_user"),
+        F.row_number().over(by_revenue).cast(rank_type).alias("revenue_per_city_ranking"),
+        F.row_number().over(by_users).cast(rank_type).alias("users_count_ranking"),
     )
 
 
 def top_users_share(revenue: DataFrame, total_revenue: float | None = None) -> DataFrame:
     """One row: the percentage of revenue that comes from the top tenth of users, 0 with fewer than ten users.
 
-    ``total_revenue`` replaces the sum over all users as the whole.  However many users there are, no
-    task holds the top tenth.
+    ``total_revenue`` replaces the sum over all users as the whole.  Users are not ranked: approximate percentiles on
+    both sides of the boundary, further apart than their error, tell the amounts that are surely in.  Only the distinct
+    amounts in between, at most a few ten-thousandths of the users, are put in order.
     """
-    by_revenue = [F.desc_nulls_last("_cents"), F.asc_nulls_first("user_id")]
-    amounts = revenue.select("user_id", to_units(F.col("revenue_per_user")).alias("_cents"))
-    ranked = global_row_numbers(amounts, {"_rank": by_revenue})
-    size = ranked.agg(F.count(F.lit(1)))
-    top = F.col("_rank") * 10 <= size.scalar()
+    amounts = materialize(revenue.select(to_units(F.col("revenue_per_user")).alias("_cents")))
+    # An unknown amount counts as a user, and as less than any amount.
+    place = F.coalesce("_cents", F.lit(-(2**62)))
+    accuracy = F.lit(int(2 / BOUNDARY_WIDTH))
+    low = amounts.agg(F.percentile_approx(place, 0.9 - BOUNDARY_WIDTH, accuracy)).scalar()
+    high = amounts.agg(F.percentile_approx(place, 0.9 + BOUNDARY_WIDTH, accuracy)).scalar()
+    above = F.when(place > high, F.col("_cents"))
+    earlier = Window.orderBy(F.desc("_place")).rowsBetween(Window.unboundedPreceding, -1)
+    room = F.call_function("div", amounts.agg(F.count("*")).scalar(), F.lit(10)) - amounts.agg(F.count_if(place > high)).scalar()
+    boundary = (
+        amounts.where(place.between(low, high))
+        .groupBy("_cents", place.alias("_place"))
+        .agg(F.count("*").alias("_rows"))
+        .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+        .withColumn("_taken", F.least(F.col("_rows"), room - F.col("_before")))
+    )
+    rest = boundary.where(F.col("_taken") > 0).agg(F.sum(F.col("_taken") * F.col("_cents"))).scalar()
+    some = F.sum(above).isNotNull() | rest.isNotNull()
+    top = F.when(some, F.coalesce(F.sum(above), F.lit(0)) + F.coalesce(rest, F.lit(0)))
     whole = F.sum("_cents") if total_revenue is None else to_units(F.lit(total_revenue))
-    share = percent(F.sum(F.when(top, F.col("_cents"))), whole)
-    return ranked.agg(
-        F.when(F.count(F.lit(1)) < MIN_USERS_FOR_SHARE, F.lit(0.0))
-        .otherwise(share)
+    return amounts.agg(
+        F.when(F.count("*") < MIN_USERS_FOR_SHARE, F.lit(0.0))
+        .otherwise(percent(top, whole))
         .alias("share_top_users_in_total_revenue")
     )

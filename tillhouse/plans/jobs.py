@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillhouse.functions.concurrency import run_together
 from tillhouse.functions.materialize import materialize
+from tillhouse.functions.money import SCALE
 from tillhouse.operators.contracts import cast_tables, project_contracts, require_content, schema_violations
 from tillhouse.operators.dedup import deduplicate
 from tillhouse.operators.kpis import run_kpis
@@ -84,11 +85,15 @@ def clean_tables(
     ignore_case: bool = False,
 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """``(clean, rejected)``: cast, null-handled, de-duplicated and flagged tables, and the copies left out.
+
+    Repeated keys and referring values are looked for before the null policies, where each takes a scan of one column; the
+    policies look at all columns of a table.
     """
-    complete = handle_nulls(cast_tables(tables, casts, lenient), null_policies)
-    kept, rejected = deduplicate(complete, keys)
+    typed = cast_tables(tables, casts, lenient)
+    complete = handle_nulls(typed, null_policies)
+    kept, rejected = deduplicate(complete, keys, typed)
     lookups = _lookups(complete, kept, keys, rules)
-    return flag_tables(kept, rules, enums, lookups, complete, as_of, ignore_case), rejected
+    return flag_tables(kept, rules, enums, lookups, typed, as_of, ignore_case), rejected
 
 
 def silver(
@@ -121,7 +126,7 @@ def gold_tables(
     users: DataFrame,
     totals: DataFrame,
     rank_type: str = "int",
-    scale: int = 2,
+    scale: int = SCALE,
 ) -> dict[str, Callable[[], DataFrame]]:
     """The analytical tables by name, built on call.  ``totals`` are the per-user totals that several of them share."""
     return {
@@ -149,12 +154,12 @@ def gold(
     batch_id: str | None = None,
     as_of: datetime.datetime | None = None,
     rank_type: str = "int",
-    scale: int = 2,
+    scale: int = SCALE,
 ) -> dict[str, str]:
     """Clean tables to analytical tables and a record in the metrics history; returns the paths written.
 
     Rows count whatever their quality flags say, unless ``only_valid`` leaves the flagged ones out.  ``scale`` is the
-    number of decimals that amounts carry.
+    number of decimals of an amount that count.
     """
     tables = scan_parquet_tables(spark, source, names)
     if not tables:
@@ -190,7 +195,7 @@ def pipeline(
     as_of: datetime.datetime | None = None,
     only_valid: bool = False,
     rank_type: str = "int",
-    scale: int = 2,
+    scale: int = SCALE,
     **options,
 ) -> dict[str, str]:
     """All layers below ``target``, under one batch id; returns the paths of the last one."""

@@ -1,14 +1,17 @@
 """The results of ``queries.py`` in SQL, for checking.
 
-Amounts are added in whole cents and rounded half away from zero, as in the engine; ties are ordered the same way.
+Amounts are added as exact decimals and rounded half away from zero after that; ties are ordered as in the engine.
 """
 
 from __future__ import annotations
 
+from tillhouse.operators import orders as order_values
 from tillhouse.plans import policies
 from tillhouse.workload.queries import AS_OF, BATCH, BUCKETS, ENUMS, HIGH_ABOVE, MEDIUM_ABOVE, PAST_LIMIT
 from tillhouse.workload.tables import (
     EVENTS,
+    FINE_ORDER_ITEMS,
+    FINE_ORDERS,
     GAPPY_ORDERS,
     ORDER_ITEMS,
     ORDERS,
@@ -32,6 +35,16 @@ def money(cents_: str) -> str:
     return f"(CAST({cents_} AS DOUBLE) / 100)"
 
 
+def units(column: str) -> str:
+    """The exact sum in millionths."""
+    return f"sum(CAST(CAST({column} AS DECIMAL(18, 6)) * 1000000 AS HUGEINT))"
+
+
+def rounded_total(column: str) -> str:
+    """The exact sum, rounded to cents."""
+    return half_up(units(column), "10000")
+
+
 def percent(part: str, whole: str) -> str:
     return money(half_up(f"(CAST({part} AS HUGEINT) * 10000)", whole))
 
@@ -62,7 +75,7 @@ def as_text(name: str) -> str:
 def totals(orders: str) -> str:
     return f"""
         SELECT user_id, count(*) AS order_rows, count(order_id) AS orders_count,
-               {total(cents('total_amount'))} AS amount, count(order_date) AS dated,
+               {rounded_total('total_amount')} AS amount, count(order_date) AS dated,
                min(order_date) AS first_date, max(order_date) AS last_date
         FROM ({orders}) GROUP BY user_id
     """
@@ -71,11 +84,12 @@ def totals(orders: str) -> str:
 def daily(orders: str) -> str:
     return f"""
         WITH days AS (
-            SELECT CAST(order_date AS DATE) AS order_day, {total(cents('total_amount'))} AS amount,
+            SELECT CAST(order_date AS DATE) AS order_day, {rounded_total('total_amount')} AS amount,
+                   {units('total_amount')} AS units,
                    count(total_amount) AS amounts, count(order_id) AS order_count
             FROM ({orders}) GROUP BY 1
         ), means AS (
-            SELECT *, {half_up('amount', 'amounts')} AS mean FROM days
+            SELECT *, {half_up('units', '(amounts * 10000)')} AS mean FROM days
         ), changes AS (
             SELECT *, row_number() OVER (ORDER BY amount DESC NULLS LAST, order_day NULLS FIRST) AS revenue_ranking,
                    lag(mean) OVER (ORDER BY order_day NULLS FIRST) AS before
@@ -126,7 +140,7 @@ def segments(orders: str, high: float, medium: float) -> str:
 def product_sales(items: str) -> str:
     return f"""
         WITH sold AS (
-            SELECT product_id, {total('quantity')} AS sold_count, {total(cents('item_total'))} AS amount
+            SELECT product_id, {total('quantity')} AS sold_count, {rounded_total('item_total')} AS amount
             FROM ({items}) GROUP BY product_id
         )
         SELECT product_id, sold_count, {money('amount')} AS summary_revenue,
@@ -341,6 +355,34 @@ def kept_items() -> str:
     return f"SELECT * FROM ({ORDER_ITEMS}) QUALIFY {place} = 1"
 
 
+def with_int(sql: str, *ranks: str) -> str:
+    """Ranks as the jobs write them."""
+    return f"SELECT * REPLACE ({', '.join(f'CAST({rank} AS INTEGER) AS {rank}' for rank in ranks)}) FROM ({sql})"
+
+
+STAMP = f"'{BATCH}' AS batch_id, {timestamp(AS_OF)} AS ingestion_time"
+
+
+def silver_orders() -> str:
+    place = survivors("orders", "order_id", policies.COLUMNS["orders"])
+    return f"""
+        SELECT *, df_users_ref AND correct_order_date AND correct_order_status AND correct_total_amount
+                      AS business_overall_correct
+        FROM (SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id, CAST(user_id AS VARCHAR) AS user_id), {STAMP},
+                     {found('user_id', USERS)} AS df_users_ref,
+                     {sound(f'order_date < {timestamp(AS_OF)}')} AS correct_order_date,
+                     {sound(f"order_status IN ({values(ENUMS['order_status'])})")} AS correct_order_status,
+                     {sound('total_amount > 0')} AS correct_total_amount
+              FROM (SELECT * FROM ({COMPLETE_ORDERS}) QUALIFY {place} = 1))
+    """
+
+
+def rejected_items() -> str:
+    place = survivors("order_items", "order_item_id", policies.COLUMNS["order_items"])
+    ids = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in ("order_id", "product_id", "user_id"))
+    return f"SELECT * REPLACE ({ids}), {STAMP} FROM (SELECT * FROM ({ORDER_ITEMS}) QUALIFY {place} > 1)"
+
+
 def expected_schema_rows() -> str:
     return """
         SELECT v.*, c.row_count FROM (VALUES
@@ -360,6 +402,7 @@ ORACLES: dict[str, str] = {
         SELECT order_id, CASE WHEN order_status = 'P' THEN NULL ELSE user_id END AS user_id FROM ({ORDERS})
     """,
     "schema_violations": expected_schema_rows(),
+    "column_presence": "SELECT true AS has_amount, false AS has_coupon, count(*) AS row_count FROM orders",
     "nonempty_tables": """
         SELECT 'orders' AS table_name, count(*) AS row_count FROM orders
         UNION ALL SELECT 'users', count(*) FROM customer
@@ -386,6 +429,9 @@ ORACLES: dict[str, str] = {
     "null_policy": COMPLETE_ORDERS,
     "dedup_kept": ranked_lines("place = 1"),
     "dedup_rejected": ranked_lines("place > 1"),
+    "dedup_split_kept": ranked_lines("place = 1"),
+    "dedup_split_rejected": ranked_lines("place > 1"),
+    "dedup_split_rejected_many_keys": ranked_lines("place > 1"),
     "dedup_by_completeness": f"""
         SELECT * FROM ({GAPPY_ORDERS})
         QUALIFY row_number() OVER (
@@ -396,7 +442,10 @@ ORACLES: dict[str, str] = {
                      order_date NULLS LAST, order_id NULLS LAST, total_amount NULLS LAST
         ) = 1
     """,
-    "flag_reference": f"SELECT order_id, user_id, {found('user_id', EVENTS)} AS df_events_ref FROM ({GAPPY_ORDERS})",
+    **dict.fromkeys(
+        ("flag_reference", "flag_reference_many_keys", "flag_reference_many_unknown"),
+        f"SELECT order_id, user_id, {found('user_id', EVENTS)} AS df_events_ref FROM ({GAPPY_ORDERS})",
+    ),
     "flag_enum": f"""
         SELECT order_id, order_status,
                {sound(f"order_status IN ({values(ENUMS['order_status'])})")} AS correct_order_status
@@ -416,10 +465,20 @@ ORACLES: dict[str, str] = {
                      {sound('total_amount > 0')} AS correct_total_amount
               FROM ({GAPPY_ORDERS}))
     """,
-    "total_revenue": f"SELECT {money(f'sum({cents("total_amount")})')} AS total_system_revenue FROM ({ORDERS})",
+    "total_revenue": f"SELECT {money(rounded_total("total_amount"))} AS total_system_revenue FROM ({ORDERS})",
     "daily_sales": daily(ORDERS),
     "daily_sales_with_gaps": daily(GAPPY_ORDERS),
     "revenue_per_user": f"SELECT user_id, {money('amount')} AS revenue_per_user FROM ({totals(GAPPY_ORDERS)})",
+    "total_revenue_of_fractions": f"""
+        SELECT {money(rounded_total("total_amount"))} AS total_system_revenue FROM ({FINE_ORDERS})
+    """,
+    "daily_sales_of_fractions": with_int(daily(FINE_ORDERS), "revenue_ranking"),
+    "revenue_per_user_of_fractions": f"""
+        SELECT user_id, {money('amount')} AS revenue_per_user FROM ({totals(FINE_ORDERS)})
+    """,
+    "product_sales_of_fractions": with_int(
+        product_sales(FINE_ORDER_ITEMS), "sold_count_ranking", "top_revenue_ranking"
+    ),
     "top_decile_share": f"SELECT {share(ORDERS)} AS share_top_users_in_total_revenue",
     "city_sales": city(ORDERS),
     "customer_metrics": segments(GAPPY_ORDERS, HIGH_ABOVE, MEDIUM_ABOVE),
@@ -433,20 +492,33 @@ ORACLES: dict[str, str] = {
     "order_buckets": buckets(GAPPY_ORDERS, BUCKETS),
     "multi_product_share": f"SELECT {multi_share(ORDERS, ORDER_ITEMS)} AS big_orders_share",
     "customer_loyalty": loyalty(ORDERS),
+    "customer_loyalty_of_fractions": loyalty(FINE_ORDERS),
     "customer_loyalty_with_gaps": loyalty(f"SELECT * FROM ({GAPPY_ORDERS}) WHERE order_id IS NOT NULL"),
     "customer_loyalty_large_groups": loyalty(f"SELECT * FROM ({GAPPY_ORDERS}) WHERE order_id IS NOT NULL"),
     "run_kpis": f"SELECT {timestamp(AS_OF)} AS timestamp, * FROM ({kpis(ORDERS, ORDER_ITEMS)})",
     "csv_scan": as_text("orders"),
     "parquet_scan": "SELECT * FROM customer",
+    "required_tables": """
+        SELECT 'whole/customer.parquet' AS table_name, count(*) AS row_count FROM customer
+        UNION ALL SELECT 'whole/nation.parquet', count(*) FROM nation
+    """,
     "parquet_sink": GAPPY_ORDERS,
     "report_sink": buckets(ORDERS, BUCKETS),
     "metrics_history": f"""
-        SELECT {money(f'sum({cents("total_amount")})')} AS total_system_revenue, 'batch-1' AS batch_id
+        SELECT {money(rounded_total("total_amount"))} AS total_system_revenue, 'batch-1' AS batch_id
         FROM ({ORDERS})
         UNION ALL
-        SELECT {money(f'sum({cents("total_amount")})')}, 'batch-2' FROM ({GAPPY_ORDERS})
+        SELECT {money(rounded_total("total_amount"))}, 'batch-2' FROM ({GAPPY_ORDERS})
     """,
     "bronze_job": bronze_summary(),
+    "silver_orders": silver_orders(),
+    "silver_rejected_items": rejected_items(),
+    "gold_customers_loyalty": with_int(loyalty(with_text_ids("orders")), "loyalty_ranking"),
+    "gold_customer_metrics": segments(with_text_ids("orders"), 5000, 2000),
+    "gold_orders": buckets(with_text_ids("orders"), order_values.BUCKETS),
+    "gold_products": with_int(
+        product_sales(with_text_ids("order_items")), "sold_count_ranking", "top_revenue_ranking"
+    ),
     "silver_job": silver_summary(),
     "gold_job": gold_summary(),
     "full_run": kpis(COMPLETE_ORDERS, kept_items()),

@@ -87,6 +87,17 @@ def schema_violations(spark, folder):
     return found.join(_row_counts(tables), "table_name", "left")
 
 
+@query
+def column_presence(spark, folder):
+    """Whether the orders have the columns asked for, with the number of rows concerned."""
+    orders = src.orders(spark, folder)
+    return orders.agg(F.count("*").alias("row_count")).select(
+        F.lit(contracts.has_columns(orders, ["order_id", "total_amount"])).alias("has_amount"),
+        F.lit(contracts.has_columns(orders, ["order_id", "coupon"])).alias("has_coupon"),
+        "row_count",
+    )
+
+
 @query
 def nonempty_tables(spark, folder):
     tables = {
@@ -158,6 +169,29 @@ def dedup_rejected(spark, folder):
     return dedup.reject_copies(src.sample(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+def _split_lines(spark: SparkSession, folder: str, **options) -> tuple[DataFrame, DataFrame]:
+    """Kept and rejected order lines, as ``silver`` gets them."""
+    tables = {"lines": src.sample(spark, folder, "lineitem")}
+    kept, rejected = dedup.deduplicate(tables, {"lines": ["l_orderkey", "l_linenumber"]}, **options)
+    return kept["lines"], rejected["lines"]
+
+
+@query
+def dedup_split_kept(spark, folder):
+    return _split_lines(spark, folder)[0]
+
+
+@query
+def dedup_split_rejected(spark, folder):
+    return _split_lines(spark, folder)[1]
+
+
+@query
+def dedup_split_rejected_many_keys(spark, folder):
+    """With more repeated keys than may be broadcast."""
+    return _split_lines(spark, folder, max_broadcast=0)[1]
+
+
 @query
 def dedup_by_completeness(spark, folder):
     """The most complete order of each user and status."""
@@ -174,6 +208,21 @@ def flag_reference(spark, folder):
     return rules.flag_reference(orders, src.events(spark, folder), "user_id", "df_events_ref")
 
 
+@query
+def flag_reference_many_keys(spark, folder):
+    """With more keys in the parent than may be broadcast, but fewer unknown values."""
+    orders = src.gappy_orders(spark, folder).select("order_id", "user_id")
+    known = rules.key_set(src.events(spark, folder), "user_id")
+    return rules.flag_reference(orders, known, "user_id", "df_events_ref", max_broadcast=known.count - 1)
+
+
+@query
+def flag_reference_many_unknown(spark, folder):
+    """With neither few keys nor few unknown values."""
+    orders = src.gappy_orders(spark, folder).select("order_id", "user_id")
+    return rules.flag_reference(orders, src.events(spark, folder), "user_id", "df_events_ref", max_broadcast=0)
+
+
 @query
 def flag_enum(spark, folder):
     orders = src.gappy_orders(spark, folder)
@@ -224,6 +273,26 @@ def revenue_per_user(spark, folder):
     return per_user.revenue_per_user(per_user.user_totals(src.gappy_orders(spark, folder)))
 
 
+@query
+def total_revenue_of_fractions(spark, folder):
+    return sales.total_revenue(src.fine_orders(spark, folder))
+
+
+@query
+def daily_sales_of_fractions(spark, folder):
+    return sales.daily_sales(src.fine_orders(spark, folder))
+
+
+@query
+def revenue_per_user_of_fractions(spark, folder):
+    return per_user.revenue_per_user(per_user.user_totals(src.fine_orders(spark, folder)))
+
+
+@query
+def product_sales_of_fractions(spark, folder):
+    return rankings.product_sales(src.fine_order_items(spark, folder))
+
+
 @query
 def top_decile_share(spark, folder):
     return per_user.top_users_share(per_user.revenue_per_user(per_user.user_totals(src.orders(spark, folder))))
@@ -275,7 +344,10 @@ def _micros(interval: str) -> Column:
 
 
 def _loyalty(orders: DataFrame, **options) -> DataFrame:
-    result = loyalty.customer_loyalty(orders, rank_type="bigint", **options)
+    return _with_micros(loyalty.customer_loyalty(orders, rank_type="bigint", **options))
+
+
+def _with_micros(result: DataFrame) -> DataFrame:
     intervals = ("orders_interval", "avg_interval")
     return result.select(*[c for c in result.columns if c not in intervals], *map(_micros, intervals))
 
@@ -285,6 +357,11 @@ def customer_loyalty(spark, folder):
     return _loyalty(src.orders(spark, folder))
 
 
+@query
+def customer_loyalty_of_fractions(spark, folder):
+    return _loyalty(src.fine_orders(spark, folder))
+
+
 @query
 def customer_loyalty_with_gaps(spark, folder):
     """Orders without a user and orders without a date included; those without an id are dropped, as in the pipeline."""
@@ -330,6 +407,14 @@ def parquet_scan(spark, folder):
     return scanned["customer.parquet"]
 
 
+@query
+def required_tables(spark, folder):
+    """Rows of a whole table set; a set that lacks one of its tables has none."""
+    sets = {"whole": ["customer.parquet", "nation.parquet"], "broken": ["customer.parquet", "absent.parquet"]}
+    found = {name: io.scan_parquet_tables(spark, folder, files) for name, files in sets.items()}
+    return _row_counts({f"{name}/{file}": df for name, tables in found.items() for file, df in tables.items()})
+
+
 @query
 def parquet_sink(spark, folder):
     target = scratch_path(spark, "tables")
@@ -426,6 +511,18 @@ def silver_job(spark, folder):
     return reduce(DataFrame.unionByName, [summary(name, path) for name, path in paths.items()])
 
 
+@query
+def silver_orders(spark, folder):
+    return spark.read.parquet(_silver(spark, folder, scratch_path(spark, "silver"))["orders"])
+
+
+@query
+def silver_rejected_items(spark, folder):
+    root = scratch_path(spark, "silver")
+    _silver(spark, folder, root)
+    return spark.read.parquet(f"{root}/rejected/order_items")
+
+
 def write_clean_tables(spark: SparkSession, folder: str, target: str) -> None:
     """The sample with the types of clean tables."""
     typed = {
@@ -447,12 +544,36 @@ GOLD_SUMS: dict[str, Callable[[], Column]] = {
 }
 
 
+def _gold(spark: SparkSession, folder: str) -> dict[str, str]:
+    root = scratch_path(spark, "gold")
+    write_clean_tables(spark, folder, f"{root}/silver")
+    return jobs.gold(spark, f"{root}/silver", f"{root}/gold", f"{root}/reports", batch_id=BATCH, as_of=AS_OF)
+
+
+@query
+def gold_customers_loyalty(spark, folder):
+    return _with_micros(spark.read.parquet(_gold(spark, folder)["customers_loyalty"]))
+
+
+@query
+def gold_customer_metrics(spark, folder):
+    return spark.read.parquet(_gold(spark, folder)["customer_metrics"])
+
+
+@query
+def gold_orders(spark, folder):
+    return spark.read.parquet(_gold(spark, folder)["orders"])
+
+
+@query
+def gold_products(spark, folder):
+    return spark.read.parquet(_gold(spark, folder)["products"])
+
+
 @query
 def gold_job(spark, folder):
     """Rows and a sum per analytical table."""
-    root = scratch_path(spark, "gold")
-    write_clean_tables(spark, folder, f"{root}/silver")
-    paths = jobs.gold(spark, f"{root}/silver", f"{root}/gold", f"{root}/reports", batch_id=BATCH, as_of=AS_OF)
+    paths = _gold(spark, folder)
 
     def summary(name: str, total: Column) -> DataFrame:
         df = spark.read.parquet(paths[name])

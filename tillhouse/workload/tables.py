@@ -74,6 +74,22 @@ ORDER_ITEMS = """
 """
 
 
+def fine_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders whose amounts have four decimals."""
+    return orders(spark, folder).withColumn("total_amount", F.col("total_amount") / 100)
+
+
+FINE_ORDERS = f"SELECT * REPLACE (total_amount / 100 AS total_amount) FROM ({ORDERS})"
+
+
+def fine_order_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Order items whose totals have five decimals."""
+    return order_items(spark, folder).withColumn("item_total", F.col("item_total") / 1000)
+
+
+FINE_ORDER_ITEMS = f"SELECT * REPLACE (item_total / 1000 AS item_total) FROM ({ORDER_ITEMS})"
+
+
 def products(spark: SparkSession, folder: str) -> DataFrame:
     return sample(spark, folder, "part").select(
         F.col("p_partkey").alias("product_id"),
