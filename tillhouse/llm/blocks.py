@@ -1,4 +1,4 @@
-"""Inside tasks: cutting Arrow batches into blocks of texts, and hashing their words with numpy."""
+"""Inside tasks: reaching shared files, cutting Arrow batches into blocks of texts, and hashing their words with numpy."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import pyarrow.fs as pafs
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -18,6 +19,11 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 
 
+def file_system(folder: str) -> tuple[pafs.FileSystem, str]:
+    """Arrow's file system for a folder, and the folder's path there."""
+    return pafs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers whose bits all depend on all (the finalizer of SplitMix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -2,21 +2,29 @@
 
 Texts are normalised byte by byte (A-Z to a-z, everything but digits, letters and non-ASCII characters to a break), so a
 word's place in the normalised text is found again in the original.
+
+The windows are written to shared storage, divided by hash into blocks of bounded size, and each task reads them from
+there: neither the driver nor a task holds more of the benchmark than one block, whatever its size.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tillhouse.functions.materialize import scratch_path, stored
+from tillhouse.llm.blocks import file_system, rows_in_blocks
+
 WINDOW = 10
 BLOCK_CHARS = 16 << 20  # characters of the windows in one automaton
+TEXT_BYTES = 8 << 20  # text that meets one automaton after the other
 
 _TABLE = bytearray(b" " * 128 + bytes(range(128, 256)))
 _TABLE[48:58] = bytes(range(48, 58))
@@ -24,7 +32,7 @@ _TABLE[97:123] = bytes(range(97, 123))
 _TABLE[65:91] = bytes(range(97, 123))
 NORMAL = bytes(_TABLE)
 
-_automata: dict[str, ahocorasick.Automaton] = {}  # in each worker, the last one built
+_automata: dict[str, ahocorasick.Automaton | None] = {}  # in each worker, the last one built
 
 
 def windows(text: str | None, size: int = WINDOW) -> set[str]:
@@ -34,31 +42,49 @@ def windows(text: str | None, size: int = WINDOW) -> set[str]:
     return {f" {b' '.join(found[k : k + size]).decode('latin-1')} " for k in range(last + 1)} if found else set()
 
 
-def pattern_blocks(items: Iterator[tuple[str, str | None]], size: int, limit: int) -> Iterator[dict[str, list[str]]]:
-    """Patterns and the items that have them, in blocks of about ``limit`` characters."""
-    block: dict[str, list[str]] = {}
-    held = 0
-    for item, text in items:
-        for pattern in windows(text, size):
-            held += 0 if pattern in block else len(pattern)
-            block.setdefault(pattern, []).append(item)
-        if held >= limit:
-            yield block
-            block, held = {}, 0
-    if block:
-        yield block
-
-
-def _automaton(block: dict[str, list[str]]) -> ahocorasick.Automaton:
-    mark = hashlib.sha1(repr(sorted(block.items())).encode()).hexdigest()
-    if mark not in _automata:
-        machine = ahocorasick.Automaton()
-        for pattern, items in block.items():
-            machine.add_word(pattern, (pattern.count(" ") - 1, items))
-        machine.make_automaton()
+def write_patterns(benchmark: DataFrame, item: str, item_text: str, size: int, block_chars: int) -> tuple[str, int]:
+    """Write patterns and the items that have them, in blocks of about ``block_chars``; returns the path and their number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, text in zip(batch["item"].to_pylist(), batch["text"]):
+                found = list(windows(text.as_py(), size))
+                yield pa.RecordBatch.from_pydict({"pattern": pa.array(found, pa.string()), "item": pa.array([name] * len(found), pa.string())})
+
+    listed = benchmark.select(
+        F.coalesce(benchmark[item].cast("string"), F.lit("")).alias("item"), benchmark[item_text].cast("string").alias("text")
+    )
+    pairs = stored(listed.mapInArrow(run, "pattern string, item string").distinct(), "benchmark-windows")
+    patterns, chars = pairs.select("pattern").distinct().agg(F.count("*"), F.sum(F.length("pattern"))).first()
+    blocks = min(patterns, -(-(chars or 0) // block_chars))
+    path = scratch_path(benchmark.sparkSession, "benchmark-blocks")
+    if blocks:
+        numbered = pairs.withColumn("block", F.pmod(F.xxhash64("pattern"), F.lit(blocks)).cast("int"))
+        numbered.repartition(blocks, "block").write.partitionBy("block").parquet(path)
+    return path, blocks
+
+
+def _automaton(path: str, block: int) -> ahocorasick.Automaton | None:
+    """The automaton of one block of patterns; none where hashes left the block empty."""
+    name = f"{path}/block={block}"
+    if name not in _automata:
         _automata.clear()
-        _automata[mark] = machine
-    return _automata[mark]
+        system, root = file_system(name)
+        found: dict[str, list[str]] = {}
+        for file in system.get_file_info(pafs.FileSelector(root, allow_not_found=True)):
+            if file.base_name.endswith(".parquet"):
+                with system.open_input_file(file.path) as source:
+                    rows = pq.ParquetFile(source).read(["pattern", "item"])
+                for pattern, item in zip(rows["pattern"].to_pylist(), rows["item"].to_pylist()):
+                    found.setdefault(pattern, []).append(item)
+        machine = None
+        if found:
+            machine = ahocorasick.Automaton()
+            for pattern, items in found.items():
+                machine.add_word(pattern, (pattern.count(" ") - 1, items))
+            machine.make_automaton()
+        _automata[name] = machine
+    return _automata[name]
 
 
 def scan(raw: bytes, machine: ahocorasick.Automaton, ranges: list[tuple[int, int]]) -> tuple[int, list[tuple[int, int]], set[str]]:
@@ -101,65 +127,50 @@ def find_contamination(
     """Each row as ``row`` (its columns ``keep``, or all), with ``n_words``, ``n_hit``, ``items`` and ``spans``.
 
     ``items`` are the sorted ids (as strings) of the items that have a window in the text, ``spans`` the stretches of hit
-    words in the original text.  The benchmark comes through the driver in blocks, each an automaton of bounded size; a
-    larger benchmark means more passes within the same tasks, without a shuffle.  Null and empty texts have no words,
-    items without words no windows; an item without id counts under the empty id, repeated items once.  Repeated rows get
-    equal results; without a benchmark nothing is hit; an empty table gives no rows.
+    words in the original text.  The benchmark is divided into blocks, each an automaton of bounded size; a larger benchmark
+    means that texts, some megabytes at a time, meet more automata within the same task, without a shuffle.  Null and empty
+    texts have no words, items without words no windows; an item without id counts under the empty id, repeated items once.
+    Repeated rows get equal results; without a benchmark nothing is hit; an empty table gives no rows.
     """
     kept = docs.columns if keep is None else keep
     row = F.struct(*(docs[name] for name in kept)).alias("row") if kept else F.struct(F.lit(0).alias("none")).alias("row")
-    state = docs.select(
-        row,
-        docs[text].cast("string").alias("text"),
+    chosen = docs.select(row, docs[text].cast("string").alias("text"))
+    out = chosen.select(
+        "row",
         F.lit(0).cast("long").alias("n_words"),
-        F.array().cast("array<long>").alias("ranges"),
+        F.lit(0).cast("long").alias("n_hit"),
         F.array().cast("array<string>").alias("items"),
         F.array().cast("array<struct<start:long,end:long>>").alias("spans"),
     )
-    listed = benchmark.select(F.coalesce(benchmark[item].cast("string"), F.lit("")), benchmark[item_text].cast("string"))
-    items = ((name, body) for name, body in listed.toLocalIterator())
-    blocks = list(pattern_blocks(items, window, block_chars)) or [{}]
-    schema = to_arrow_schema(state.schema)
-    for k, block in enumerate(blocks):
-        state = state.mapInArrow(_pass(block, schema, last=k == len(blocks) - 1), state.schema)
-    flat = F.col("ranges")
-    hit = F.aggregate(
-        F.transform(flat, lambda value, k: F.when(k % 2 == 0, -value).otherwise(value)), F.lit(0).cast("long"), lambda a, b: a + b
-    )
-    return state.select("row", "n_words", hit.alias("n_hit"), "items", "spans")
+    path, blocks = write_patterns(benchmark, item, item_text, window, block_chars)
+    schema = to_arrow_schema(out.schema)
 
-
-def _pass(block: dict[str, list[str]], schema: pa.Schema, last: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = _automaton(block) if block else None
-        for batch in batches:
-            texts = batch["text"]
-            if not pa.types.is_large_string(texts.type):
-                texts = texts.cast(pa.large_string())
-            n_words, ranges, items, spans = [], [], [], []
-            for value, old_ranges, old_items in zip(texts.cast(pa.large_binary()), batch["ranges"], batch["items"]):
-                raw = value.as_py() or b""
-                flat = old_ranges.as_py()
-                own = list(zip(flat[::2], flat[1::2]))
-                if machine is None:
-                    count, found = len(raw.translate(NORMAL).split()), set()
-                else:
-                    count, own, found = scan(raw, machine, own)
-                n_words.append(count)
-                ranges.append([edge for pair in own for edge in pair])
-                items.append(sorted(found.union(old_items.as_py())))
-                spans.append(original_spans(raw, own) if own and last else [])
+        for rows in rows_in_blocks(batches, "text", TEXT_BYTES):
+            texts = rows["text"].cast(pa.large_binary())
+            n_words = [0] * len(texts)
+            ranges: list[list[tuple[int, int]]] = [[] for _ in range(len(texts))]
+            items: list[set[str]] = [set() for _ in range(len(texts))]
+            machines = (_automaton(path, block) for block in range(blocks))
+            for machine in machines if blocks else [None]:
+                for k, value in enumerate(texts):
+                    raw = value.as_py() or b""
+                    if machine is None:
+                        n_words[k] = len(raw.translate(NORMAL).split())
+                        continue
+                    n_words[k], ranges[k], found = scan(raw, machine, ranges[k])
+                    items[k] |= found
+            spans = [original_spans(value.as_py() or b"", own) if own else [] for value, own in zip(texts, ranges)]
             columns = {
-                "row": batch["row"],
-                "text": pa.nulls(len(texts), schema.field("text").type) if last else batch["text"],
+                "row": rows["row"],
                 "n_words": pa.array(n_words, pa.int64()),
-                "ranges": pa.array(ranges, schema.field("ranges").type),
-                "items": pa.array(items, schema.field("items").type),
+                "n_hit": pa.array([sum(b - a for a, b in own) for own in ranges], pa.int64()),
+                "items": pa.array([sorted(own) for own in items], schema.field("items").type),
                 "spans": pa.array(spans, schema.field("spans").type),
             }
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+            yield from pa.table(columns).to_batches()
 
-    return run
+    return chosen.mapInArrow(run, out.schema)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -14,11 +14,11 @@ from collections.abc import Iterator
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from tillhouse.functions.materialize import stored
+from tillhouse.llm.blocks import file_system
 
 LEAST_REVISIT = 1000  # bytes of a payload from which copies are revisit records
 ARCHIVE_BYTES = 256 << 20
@@ -106,10 +106,6 @@ def parse_record(raw: bytes) -> dict:
     }
 
 
-def _file_system(folder: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
-
-
 def write_archives(
     pages: DataFrame,
     folder: str,
@@ -137,7 +133,7 @@ def write_archives(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
-        system, root = _file_system(folder)
+        system, root = file_system(folder)
         system.create_dir(root, recursive=True)
         out, at, number = None, 0, 0
         for batch in batches:
@@ -201,7 +197,7 @@ def read_records(
     ordered = wanted.repartitionByRange(tasks, "archive", "offset").sortWithinPartitions("archive", "offset")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, root = _file_system(folder)
+        system, root = file_system(folder)
         rows = (row for batch in batches for row in zip(*(batch[k].to_pylist() for k in range(3))))
         opened, source = None, None
         for archive, begin, length, inside in coalesced(rows, most, gap):
