@@ -31,7 +31,7 @@ from tillhouse.llm.blocks import mix, raw_texts, rows_in_blocks, word_hashes
 
 ORDER = 2
 MU = 4.0
-BLOCK_BYTES = 16 << 20  # text of a block: its n-grams are held by one task
+BLOCK_BYTES = 8 << 20  # text of a block: its n-grams are held by one task
 PART_BYTES = 12 << 20  # text for each of the parts in which counts are added up
 END, BEGIN = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 STATISTICS = -1  # the block number of rows with totals of a part
