@@ -100,6 +100,55 @@ def test_boundaries_are_those_of_all_groups(seed):
     assert len(asked) <= 6
 
 
+def asked_spans(monkeypatch):
+    """The number of spans that each call of ``sums`` gives, from here on."""
+    find, asked = sharding.find_boundaries, []
+
+    def counting(shards, sums, *heavy):
+        def counted(*wanted):
+            spans = sums(*wanted)
+            asked.append(len(spans))
+            return spans
+
+        return find(shards, counted, *heavy)
+
+    monkeypatch.setattr(sharding, "find_boundaries", counting)
+    return asked
+
+
+@pytest.mark.parametrize("hot", [[0.5], [0.6, 0.4], [0.05] * 22])
+def test_heavy_groups_leave_few_prefixes_unclear(spark, monkeypatch, hot):
+    asked = asked_spans(monkeypatch)
+    source = random.Random(len(hot))
+    groups = {hashlib.sha256(str(k).encode()).hexdigest(): source.randrange(1, 2000) for k in range(40000)}
+    total = sum(groups.values())
+    for place, share in zip(source.sample(sorted(groups), len(hot)), hot):
+        groups[place] = int(total * share)
+    found = sharding.balanced_boundaries(spark.createDataFrame(list(groups.items()), "place string, size long"), 16)
+    places = sorted(groups)
+    shard = [sum(place >= boundary for boundary in found) for place in places]
+    cuts = [k for k in range(1, len(places)) if shard[k] != shard[k - 1]]
+    assert cuts == best_cuts([groups[place] for place in places], 16)
+    assert sum(asked) < 8000  # 4,096 prefixes and the heavy groups to begin with
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_bounded_requests_find_the_same_boundaries(spark, monkeypatch, seed):
+    monkeypatch.setattr(sharding, "MOST_SPANS", 300, raising=False)
+    asked = asked_spans(monkeypatch)
+    source = random.Random(seed)
+    groups = {hashlib.sha256(str((seed, k)).encode()).hexdigest(): source.choice([1, 5, 50, 3000]) for k in range(6000)}
+    for place in source.sample(sorted(groups), 4 * seed):
+        groups[place] = sum(groups.values()) // 25
+    groups[""] = 7
+    found = sharding.balanced_boundaries(spark.createDataFrame(list(groups.items()), "place string, size long"), 16)
+    places = sorted(groups)
+    shard = [sum(place >= boundary for boundary in found) for place in places]
+    cuts = [k for k in range(1, len(places)) if shard[k] != shard[k - 1]]
+    assert cuts == best_cuts([groups[place] for place in places], 16)
+    assert max(asked[1:], default=0) <= 300
+
+
 def test_shards(spark):
     docs = awkward(spark)
     rows = sharding.assign_shards(docs, 4, slot_buckets=3).collect()

@@ -8,12 +8,17 @@ Neither groups nor their number are bounded, so the search never sees them all.
 and looks closer only where a cut can fall: a prefix is taken once as something that can be cut anywhere, which gives a
 lower bound of the capacity, and once as something that can't be cut, which gives an upper bound; prefixes that a cut
 reaches at any capacity in between are replaced by longer ones, until only single groups are left there.
+
+Heavy groups are few; each is known by itself from the beginning, between the remainders of its prefix, so both bounds
+take it as what can't be cut.  Where a cut may fall before or after a heavy group, all cuts behind it are uncertain by as
+much.  If that makes too many prefixes unclear, those of one capacity between the bounds are looked at first, from the
+first cut on, until it is clear whether that capacity will do.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -23,23 +28,36 @@ from tillhouse.functions.materialize import stored
 
 FIRST_DIGITS = 3  # 4,096 prefixes to begin with
 MORE_DIGITS = 2  # each prefix that is looked at closer becomes up to 256
+HEAVY = 64  # a group is heavy from this part of a shard's share on: fewer than so many for each shard
+MOST_SPANS = 1 << 17  # asked for at a time
+LEAST_COST = 32  # spans that a prefix counts for at least, which bounds the prefixes asked for at a time
 SLOT_BUCKETS = 1024  # tasks that number the rows of a shard
 
 
 @dataclass(frozen=True)
 class Span:
-    """All groups whose digest starts with ``prefix``, next to each other in the order."""
+    """The groups whose digest starts with ``prefix`` and isn't below ``after``, up to the next span."""
 
     prefix: str
     size: int
     groups: int
+    after: str = ""
+
+    @property
+    def begin(self) -> str:
+        return max(self.prefix, self.after)
+
+    @property
+    def cost(self) -> int:
+        """Spans that looking closer gives, at most."""
+        return min(max(self.groups, LEAST_COST), 16**MORE_DIGITS)
 
 
 class Spans:
     """Spans in order, and what the greedy rule makes of them."""
 
     def __init__(self, spans: list[Span]):
-        self.spans = sorted(spans, key=lambda span: span.prefix)
+        self.spans = sorted(spans, key=lambda span: span.begin)
         self.ends = list(accumulate(span.size for span in self.spans))
         self.total = self.ends[-1] if self.ends else 0
 
@@ -70,35 +88,54 @@ class Spans:
             low, high = (low, middle) if self.fits(middle, shards, divisible) else (middle + 1, high)
         return low
 
-    def unclear(self, shards: int) -> set[str]:
-        """Prefixes of several groups within reach of a cut at some capacity between the bounds."""
-        low, high = self.smallest(shards, True), self.smallest(shards, False)
+    def within_reach(self, low: int, high: int, shards: int) -> list[list[Span]]:
+        """For each cut the spans of several groups where it can fall at some capacity from ``low`` to ``high``."""
         first, last = self.cuts(low, shards, False), self.cuts(high, shards, True)
         first += [first[-1] if first else 0] * (shards - len(first))
         last += [self.total] * (shards - len(last))
-        found: set[str] = set()
+        found = []
         for begin, end in zip(first, last):
             k = bisect_right(self.ends, begin)
-            while k < len(self.spans) and (self.ends[k - 1] if k else 0) < end:
-                if self.spans[k].groups > 1:
-                    found.add(self.spans[k].prefix)
-                k += 1
+            stop = bisect_left(self.ends, end, k) + 1 if begin < end else k
+            found.append([span for span in self.spans[k:stop] if span.groups > 1])
         return found
 
+    def unclear(self, shards: int) -> set[str]:
+        """Prefixes to look at closer; none once all cuts are known."""
+        low, high = self.smallest(shards, True), self.smallest(shards, False)
+        reached = {span.begin: span for spans in self.within_reach(low, high, shards) for span in spans}
+        if sum(span.cost for span in reached.values()) <= MOST_SPANS:
+            return {span.prefix for span in reached.values()}
+        middle = (low + high) // 2
+        chosen: set[str] = set()
+        left = MOST_SPANS
+        for span in (span for spans in self.within_reach(middle, middle, shards) for span in spans):
+            if span.prefix not in chosen:
+                left -= span.cost
+                if left < 0:
+                    break
+                chosen.add(span.prefix)
+        return chosen
+
     def boundaries(self, shards: int) -> list[str]:
-        """The prefix with which each shard but the first begins."""
+        """The place from which on groups belong to each shard but the first."""
         ends = self.cuts(self.smallest(shards, False), shards, False)
-        return [self.spans[bisect_left(self.ends, end) + 1].prefix for end in ends if end < self.total]
+        return [self.spans[bisect_left(self.ends, end) + 1].begin for end in ends if end < self.total]
+
 
+def find_boundaries(
+    shards: int, sums: Callable[[int, set[str] | None], list[Span]], heavy: Sequence[Span] = ()
+) -> list[str]:
+    """``sums(digits, prefixes)`` gives the spans of so many digits below the prefixes, or all of them, without ``heavy``.
 
-def find_boundaries(shards: int, sums: Callable[[int, set[str] | None], list[Span]]) -> list[str]:
-    """``sums(digits, prefixes)`` gives the spans of so many digits below the prefixes, or all of them."""
-    digits = FIRST_DIGITS
-    spans = Spans(sums(digits, None))
+    Spans of ``heavy`` hold one group each; those from ``sums`` end where one of them lies in between.
+    """
+    spans = Spans([*heavy, *sums(FIRST_DIGITS, None)])
     while unclear := spans.unclear(shards):
-        digits += MORE_DIGITS
-        kept = [span for span in spans.spans if span.prefix not in unclear]
-        spans = Spans(kept + sums(digits, unclear))
+        found = [span for span in spans.spans if span.prefix not in unclear]
+        for length in sorted(set(map(len, unclear))):
+            found += sums(length + MORE_DIGITS, {prefix for prefix in unclear if len(prefix) == length})
+        spans = Spans(found)
     return spans.boundaries(shards)
 
 
@@ -117,16 +154,31 @@ def shard_of(place: Column, boundaries: list[str]) -> Column:
 def balanced_boundaries(sized: DataFrame, shards: int) -> list[str]:
     """Where to cut rows with ``place`` and ``size`` into ``shards`` shards."""
     groups = stored(sized.groupBy("place").agg(F.sum("size").alias("size")), "shard-groups")
+    total = groups.agg(F.sum("size")).first()[0] or 0
+    least = max(1, -(-total // (shards * HEAVY)))
+    found = groups.where(F.col("size") >= least).collect()  # at most shards x HEAVY rows
+    heavy = sorted((Span(row["place"], row["size"], 1) for row in found), key=lambda span: span.prefix)
+    others = groups.where(F.col("size") < least)
 
     def sums(digits: int, prefixes: set[str] | None) -> list[Span]:
-        chosen = groups
+        chosen = others.withColumn("prefix", F.substring("place", 1, digits))
         if prefixes is not None:
             length = max(map(len, prefixes))
-            chosen = groups.where(F.substring("place", 1, length).isin(sorted(prefixes)))
-        found = chosen.groupBy(F.substring("place", 1, digits).alias("prefix")).agg(F.sum("size"), F.count("*"))
-        return [Span(*row) for row in found.collect()]  # bounded by the prefixes asked for
-
-    return find_boundaries(shards, sums)
+            chosen = chosen.where(F.substring("place", 1, length).isin(sorted(prefixes)))
+        within: dict[str, list[str]] = {}
+        for span in heavy:
+            if prefixes is None or span.prefix[:length] in prefixes:
+                within.setdefault(span.prefix[:digits], []).append(span.prefix)
+        after = F.lit("")
+        if within:
+            inside = groups.sparkSession.createDataFrame(list(within.items()), "prefix string, heavy array<string>")
+            chosen = chosen.join(F.broadcast(inside), "prefix", "left")
+            last = F.array_max(F.filter("heavy", lambda place: place < F.col("place")))
+            after = F.coalesce(F.concat(last, F.lit("0")), F.lit(""))  # behind that place and before the next one
+        spans = chosen.groupBy("prefix", after.alias("after")).agg(F.sum("size"), F.count("*")).collect()
+        return [Span(prefix, size, count, after) for prefix, after, size, count in spans]  # about MOST_SPANS at most
+
+    return find_boundaries(shards, sums, heavy)
 
 
 def assign_shards(
