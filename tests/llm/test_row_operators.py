@@ -131,6 +131,58 @@ def test_secret_spans(spark):
         assert redacted[k] == out + text[at:]
 
 
+def window_span(candidate):
+    """Like ``entropy_span``, with placeholders and runs allowing windows only."""
+    whole = [p for p in secret_scan.ALLOWED if p.startswith("^")]
+    if not re.search(secret_scan.LIKELY, candidate) or any(re.search(p, candidate) for p in whole):
+        return None
+    bits = next(a.bits for a in secret_scan.ALPHABETS if re.search(a.pattern, candidate))
+    size = secret_scan.WINDOW
+    near = [m.span() for p in secret_scan.ALLOWED if p not in whole and p != r"(.)\1{7,}" for m in re.finditer(p, candidate)]
+
+    def suspicious(k):
+        window = candidate[k : k + size]
+        touched = any(a <= k + size and k <= b for a, b in near)
+        return entropy(window) >= bits - 1e-12 and not touched and not re.search(r"(.)\1{7,}", window)
+
+    hits = [k for k in range(len(candidate) - size + 1) if suspicious(k)]
+    return (hits[0], hits[-1] + size) if hits else None
+
+
+TOKEN = "x9Kq2LmZ8vTr4WpY7nBs"
+KEY = "b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQAAAAAAAAABAAAAMwAAAAtzc2gtZWQyNTUxOQAAACDk7Qw9ZJrX2uVbT5yHf1nLsPc8aEoGiRm3K"
+
+
+def test_placeholders_hide_no_secrets_beside_them(spark):
+    source = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-"
+    words = ["example", "/sample/", "A" * 9, "0" * 30, "abcdefghij", "Dummy", "0123456789", "your_key"]
+    mixed = [
+        "".join("".join(source.choices(letters[: source.choice([16, 64])], k=source.randrange(40))) + source.choice(words) for _ in range(5))
+        for _ in range(60)
+    ]
+    fixed = {
+        f"see docs/example/{TOKEN} here": TOKEN,
+        f"{TOKEN}/sample/path": TOKEN,
+        f"AAAAAAAA{TOKEN}": TOKEN,
+        f"line {KEY} end": KEY,
+        f"EXAMPLE{TOKEN}": "",
+        "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789": "",
+    }
+    cases = [*fixed, *mixed]
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    for row in secret_scan.scan_secrets(docs).collect():
+        text = cases[row["row"]["doc_id"]]
+        found = [(span["start"], span["end"]) for span in row["spans"] if span["kind"] == secret_scan.ENTROPY]
+        if text in fixed:
+            assert bool(found) == bool(fixed[text])
+            assert fixed[text] in "".join(text[a:b] for a, b in found)
+        base = base_spans(text)
+        spans = [(m.start(), window_span(m[0])) for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}", text)]
+        added = [(at + span[0], at + span[1]) for at, span in spans if span]
+        assert found == [(a, b) for a, b in added if not any(s <= a and b <= e for s, _, e, _ in base)], text
+
+
 def test_secrets_of_awkward_rows(spark):
     docs = awkward(spark)
     clean = secret_scan.redact_secrets(docs, length="n_words")

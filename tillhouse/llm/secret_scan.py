@@ -49,15 +49,18 @@ CANDIDATE = r"[A-Za-z0-9+/_-]{20,}+"
 LIKELY = r"^(?=.*[0-9])(?=.*[A-Za-z])"
 ALPHABETS = (Alphabet("hex", r"^[0-9a-fA-F]+$", 3.0), Alphabet("base64", r"^[A-Za-z0-9+/_-]+$", 3.7))
 WINDOW = 20
-# Candidates that are no secrets: placeholders, runs of one character, slugs and paths of words with a number.
+RUN = r"(.)\1{7,}"
+# No secrets: placeholders, runs of one character, slugs and paths of words with a number.  Patterns from ^ to $ allow a
+# whole candidate; matches of the others allow the windows that touch them, whatever else the candidate holds.
 ALLOWED = (
     r"(?i)example|sample|placeholder|dummy|changeme|your[-_]?key",
-    r"(.)\1{7,}",
+    RUN,
     r"(?i)0123456789|abcdefghij",
     r"^[A-Za-z]*(?:[/_-][A-Za-z]+)+[/_-]?[0-9]{0,8}$",
     r"^[A-Z]?[a-z]+[0-9]{1,6}$",
     r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
 )
+HELD = {RUN: 8}  # characters of a match that a window must hold to be allowed, where touching it isn't enough
 ENTROPY = "entropy"
 
 
@@ -97,8 +100,27 @@ def _shape_spans(text: Column, shape: Shape, rank: int) -> Column:
     return F.transform(found, lambda hit: _span(hit["start"], hit["start"] + F.length(hit["text"]), shape.kind, rank))
 
 
-def _suspicious(candidate: Column, window: int, bits: Column) -> Column:
-    """First and last position (exclusive) of the windows of at least so many bits; null if there is none."""
+def _allowed_ends(candidate: Column, window: int, patterns: Sequence[str]) -> Column:
+    """For each match the first and last position at which a window that it allows can end, in order."""
+
+    def ends(pattern: str) -> Column:
+        held = HELD.get(pattern, 0)
+        return F.transform(
+            _matches(candidate, pattern),
+            lambda hit: F.struct(
+                (hit["start"] + held).alias("first"),
+                (hit["start"] + F.length(hit["text"]) - held + window).alias("last"),
+            ),
+        )
+
+    return F.array_sort(F.concat(F.array().cast("array<struct<first:int,last:int>>"), *map(ends, patterns)))
+
+
+def _suspicious(candidate: Column, window: int, bits: Column, allowed: Column) -> Column:
+    """First and last position (exclusive) of the windows of at least so many bits; null if there is none.
+
+    Windows that end where ``allowed`` says are passed over.
+    """
     weigh = F.array(*(F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 2)))
 
     def change(inside: Column, char: Column, by: int) -> Column:
@@ -114,11 +136,16 @@ def _suspicious(candidate: Column, window: int, bits: Column) -> Column:
         def next_state(rest: Column) -> Column:
             total = state["total"] + less + change(rest, char, 1)
             at = state["at"] + 1
-            hit = (at >= window) & (F.lit(math.log2(window)) - total / window >= bits)
+            match = F.get(allowed, state["taken"])
+            reached = F.coalesce(match["first"] <= at, F.lit(False))
+            until = F.when(reached, F.greatest(state["until"], match["last"])).otherwise(state["until"])
+            hit = (at >= window) & (at > until) & (F.lit(math.log2(window)) - total / window >= bits)
             return F.struct(
                 F.concat(rest, char).alias("inside"),
                 total.alias("total"),
                 at.alias("at"),
+                (state["taken"] + F.when(reached, 1).otherwise(0)).alias("taken"),
+                until.alias("until"),
                 F.coalesce(state["first"], F.when(hit, at - window)).alias("first"),
                 F.when(hit, at).otherwise(state["last"]).alias("last"),
             )
@@ -130,6 +157,8 @@ def _suspicious(candidate: Column, window: int, bits: Column) -> Column:
         F.lit("").alias("inside"),
         F.lit(0.0).alias("total"),
         F.lit(0).alias("at"),
+        F.lit(0).alias("taken"),
+        F.lit(0).alias("until"),
         nothing.alias("first"),
         nothing.alias("last"),
     )
@@ -138,16 +167,19 @@ def _suspicious(candidate: Column, window: int, bits: Column) -> Column:
 
 
 def _entropy_spans(text: Column, rank: int, window: int, alphabets: Sequence[Alphabet], allowed: Sequence[str]) -> Column:
+    whole = [pattern for pattern in allowed if pattern.startswith("^")]
+    inside = [pattern for pattern in allowed if pattern not in whole]
+
     def wanted(hit: Column) -> Column:
         keep = hit["text"].rlike(LIKELY)
-        for pattern in allowed:
+        for pattern in whole:
             keep = keep & ~hit["text"].rlike(pattern)
         return keep
 
     def judge(hit: Column) -> Column:
         bits = F.coalesce(*(F.when(hit["text"].rlike(a.pattern), F.lit(a.bits)) for a in alphabets), F.lit(math.inf))
         return let(
-            _suspicious(hit["text"], window, bits),
+            let(_allowed_ends(hit["text"], window, inside), lambda ends: _suspicious(hit["text"], window, bits, ends)),
             lambda state: F.when(
                 state["first"].isNotNull(),
                 _span(hit["start"] + state["first"], hit["start"] + state["last"], ENTROPY, rank),
