@@ -16,8 +16,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no quality rule rejects."""
-    return quality_rules.keep_good(docs)
+    """Documents that no quality rule rejects; none is too long."""
+    return quality_rules.keep_good(docs, rules=quality_rules.ANY_LENGTH)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tests.llm.tables import awkward, empty, prose, texts
 from tillhouse.llm import decontaminate, quality_rules, secret_scan
 from tillhouse.llm.queries import op6_secret_scans
@@ -44,6 +45,12 @@ def test_quality_measures(spark):
         assert row["kept"] == (not failed and not row["broken_rules"])
 
 
+def test_pipeline_keeps_long_documents(spark):
+    book = " ".join(f"the word{k}" for k in range(50_001))
+    docs = spark.createDataFrame([(1, book), (2, "short")], "doc_id long, text string")
+    assert [row["doc_id"] for row in corpus_pipeline.keep_good(spark, docs, "").collect()] == [1]
+
+
 def test_quality_keeps_rows_as_they_are(spark):
     docs = awkward(spark)
     kept = quality_rules.keep_good(docs, rules=())
