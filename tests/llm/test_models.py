@@ -6,13 +6,14 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.tables import awkward, empty, prose, texts
 from tillhouse.llm import lm_scoring, packing, quality_classifier
-from tillhouse.llm.blocks import raw_texts, word_hashes
+from tillhouse.llm.blocks import raw_texts, rows_in_blocks, word_hashes
 from tillhouse.llm.common import held_out
 from tillhouse.llm.queries import op5_quality_classifier
 
@@ -90,6 +91,15 @@ def test_held_out_texts_are_more_likely_than_by_words_alone(spark):
     assert n > 100 and score > base
 
 
+def test_blocks_bound_rows_without_text():
+    bodies = [None, ""] * 5000 + ["a" * 5000, "b"] + [""] * 3
+    batches = pa.table({"text": pa.array(bodies, pa.string())}).to_batches(max_chunksize=700)
+    blocks = [block["text"].to_pylist() for block in rows_in_blocks(iter(batches), "text", 4096)]
+    assert [text for block in blocks for text in block] == bodies
+    assert all(blocks) and max(map(len, blocks)) <= 64
+    assert ["a" * 5000] in blocks
+
+
 def test_word_hashes_of_long_texts():
     import pyarrow as pa
 

@@ -13,6 +13,7 @@ SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+ROW_BYTES = 64  # what a row counts for besides its text, so that short and empty texts fill blocks as well
 SLICE_BYTES = 2 << 20  # bytes hashed at a time: numpy's intermediate arrays take about fifty times as much
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -41,21 +42,20 @@ def powers(count: int) -> np.ndarray:
 
 
 def rows_in_blocks(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[pa.Table]:
-    """The rows in order, in tables of about ``limit`` bytes of text; one longer text makes a table of its own."""
+    """The rows in order, in tables of at most ``limit`` bytes, ``ROW_BYTES`` a row and its text; one larger row makes a table of its own."""
     held: list[pa.Table] = []
     size = 0
     for batch in batches:
         rows = pa.Table.from_batches([batch])
         lengths = pa.compute.fill_null(pa.compute.binary_length(rows[text]), 0).to_numpy()
         at = 0
-        for k, length in enumerate(lengths.tolist()):
+        for k, length in enumerate((lengths + ROW_BYTES).tolist()):
             if size and size + length > limit:
                 held.append(rows.slice(at, k - at))
                 yield pa.concat_tables(held).combine_chunks()
                 held, size, at = [], 0, k
             size += length
         held.append(rows.slice(at))
-        size = max(size, 1)
     if held and sum(part.num_rows for part in held):
         yield pa.concat_tables(held).combine_chunks()
 
