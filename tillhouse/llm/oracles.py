@@ -127,9 +127,47 @@ OP8 = f"""
     FROM d LEFT JOIN places USING (r) LEFT JOIN items USING (r)
 """
 
+OP12 = rf"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+    l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+    w AS (SELECT *, list_filter(string_split_regex(t, '{SPACES}'), lambda x: x <> '') AS w FROM d),
+    m AS (
+        SELECT r, part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+               CASE WHEN len(w) < 100 THEN 1 ELSE 0 END
+               + CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 2 ELSE 0 END
+               + CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t) THEN 4 ELSE 0 END
+               + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+               + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS bits
+        FROM w LEFT JOIN l USING (doc_id)
+    ),
+    f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS bit),
+    o AS (
+        SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+        FROM f a, f b, f c, f d, f e
+        WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND (a.bit | b.bit | c.bit | d.bit | e.bit) = 31
+    ),
+    s AS (
+        SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS filter, bits[step] AS bit,
+               CAST(coalesce(list_sum(bits[:step - 1]), 0) AS INTEGER) AS before
+        FROM o, (SELECT unnest(range(1, 6)) AS step)
+    ),
+    a AS (
+        SELECT part, filter_order, step, filter,
+               count(*) FILTER (bits & (before | bit) = 0) AS kept,
+               count(*) FILTER (bits & bit <> 0 AND bits & before = 0) AS removed,
+               count(*) FILTER (bits & bit <> 0 AND bits & before <> 0) AS redundant,
+               count(*) FILTER (bits = bit) AS unique_fails,
+               count(*) FILTER (bits & bit <> 0 AND bits & before = 0 AND good) AS good_lost,
+               count(*) FILTER (bits & bit <> 0 AND bits & before = 0 AND toxic) AS toxic_lost
+        FROM m, s GROUP BY ALL
+    )
+    SELECT *, CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley FROM a
+"""
+
 ORACLES = {
     "op1_quality_rules": OP1,
     "op2_chat_formatting": _op2(),
     "op7_warc": OP7,
     "op8_decontamination": OP8,
+    "op12_filter_audit": OP12,
 }

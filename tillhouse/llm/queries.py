@@ -13,6 +13,7 @@ from tillhouse.functions.materialize import scratch_path, stored
 from tillhouse.llm import (
     chat_format,
     decontaminate,
+    filter_audit,
     lm_scoring,
     packing,
     quality_classifier,
@@ -165,6 +166,11 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return filter_audit.audit_filters(docs, labels)
+
+
 def _reaching(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         reach_package(spark)
@@ -186,5 +192,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_packing,
         op10_simhash,
+        op12_filter_audit,
     )
 }
