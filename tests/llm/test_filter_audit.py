@@ -36,7 +36,7 @@ def failures(rows):
 
 def plain_audit(rows, labels):
     """{(part, order, step): figures} of (id, text, part) rows and (id, quality, toxic) labels."""
-    good, toxic = {k for k, q, _ in labels if q == 1}, {k for k, _, t in labels if t == 1}
+    good, toxic = {k for k, q, _ in labels if q == 1} - {None}, {k for k, _, t in labels if t == 1} - {None}
     failed = failures([row[:2] for row in rows])
     out = {}
     for part in {row[2] or "" for row in rows}:
