@@ -164,10 +164,60 @@ OP12 = rf"""
     SELECT *, CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley FROM a
 """
 
+OP13 = rf"""
+    WITH d AS (
+        SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang,
+               translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t
+        FROM documents
+    ),
+    p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?
+-]')) AS piece FROM d),
+    w AS (SELECT lang, list_filter(string_split_regex(piece, '[ 	]+'), lambda x: x <> '') AS w FROM p),
+    g AS (
+        SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+        FROM (
+            SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+            FROM w, (SELECT unnest(range(1, 6)) AS size) WHERE len(w) >= size
+        )
+    ),
+    f AS (SELECT lang, size, phrase, count(*) AS f FROM g GROUP BY ALL),
+    t AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+    c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 100),
+    inside AS (
+        SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, max(a) AS longer
+        FROM (
+            SELECT lang, w, k, a, unnest(range(1, size - k + 2)) AS i
+            FROM c, (SELECT unnest(range(2, 5)) AS k) WHERE k < size
+        )
+        GROUP BY ALL
+    ),
+    open AS (SELECT c.* FROM c LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a),
+    cuts AS (
+        SELECT lang, phrase, a, k, array_to_string(w[:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest
+        FROM (SELECT *, unnest(range(1, size)) AS k FROM open)
+    ),
+    scored AS (
+        SELECT cuts.lang, cuts.phrase, a, k, fl.f AS l, fr.f AS r, n,
+               CAST((1000::HUGEINT * a * n) // (fl.f::HUGEINT * fr.f) AS BIGINT) AS score
+        FROM cuts
+        JOIN f fl ON fl.lang = cuts.lang AND fl.phrase = first
+        JOIN f fr ON fr.lang = cuts.lang AND fr.phrase = rest
+        JOIN t ON t.lang = cuts.lang
+    ),
+    best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    ranked AS (
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+               phrase, a, l, r, n, score
+        FROM best
+    )
+    SELECT * FROM ranked WHERE rank <= 2000
+"""
+
 ORACLES = {
     "op1_quality_rules": OP1,
     "op2_chat_formatting": _op2(),
     "op7_warc": OP7,
     "op8_decontamination": OP8,
     "op12_filter_audit": OP12,
+    "op13_phrases": OP13,
 }

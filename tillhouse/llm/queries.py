@@ -16,6 +16,7 @@ from tillhouse.llm import (
     filter_audit,
     lm_scoring,
     packing,
+    phrases,
     quality_classifier,
     quality_rules,
     secret_scan,
@@ -171,6 +172,10 @@ def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit.audit_filters(docs, labels)
 
 
+def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.mine_collocations(table(spark, folder, "documents"))
+
+
 def _reaching(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         reach_package(spark)
@@ -193,5 +198,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_packing,
         op10_simhash,
         op12_filter_audit,
+        op13_phrases,
     )
 }
