@@ -22,6 +22,7 @@ from tillhouse.llm import (
     secret_scan,
     sharding,
     simhash,
+    site_tree,
     warc,
 )
 from tillhouse.llm.common import held_out, table
@@ -167,6 +168,13 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    found = site_tree.extract_main_text(pages)
+    text = F.col("main_text")
+    return found.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
+
+
 def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     return filter_audit.audit_filters(docs, labels)
@@ -197,6 +205,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_packing,
         op10_simhash,
+        op11_html_extraction,
         op12_filter_audit,
         op13_phrases,
     )
