@@ -1,10 +1,9 @@
 """Phrase collocation mining: word n-grams that occur together far more often than their parts would by chance.
 
 Texts are cut into pieces at punctuation and pieces into words.  Each block of texts of one language is a shard: its words
-as numbers, with a vocabulary of its own.  A phrase that occurs often enough consists of words, and of pairs of neighbours,
-that do; so the shards first sum up their words, then the pairs of frequent words, and each gets back those of its own
-that are frequent everywhere.  What is left of a shard, runs of words whose neighbours are frequent pairs, goes into an
-FM-index, and extending intervals of its two Burrows-Wheeler transforms, to the right and to the left in turn, enumerates
+as numbers, with a vocabulary of its own.  A phrase that occurs often enough consists of pairs of neighbours that do; so the
+shards first sum up their pairs, and each gets back those of its own that are frequent in all together.  What is left of a
+shard, runs of words whose neighbours are frequent pairs, goes into an FM-index, and extending intervals of its two Burrows-Wheeler transforms, to the right and to the left in turn, enumerates
 the n-grams up to the given depth with their counts.  The counts are summed over shards by the phrase itself.
 """
 
@@ -164,61 +163,57 @@ def _shards(docs: DataFrame, text: str, lang: str, block_bytes: int) -> DataFram
 
 
 def _shard_words(shards: DataFrame) -> DataFrame:
-    """(lang, shard, at, word, n): each word of each shard, with its number there."""
+    """(lang, word, n): each word of each shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                words = row["vocabulary"].split(b" ") if row["vocabulary"] else []
-                counts = np.frombuffer(row["counts"], dtype="<i4")
+                counts = np.frombuffer(row["counts"], dtype="<i4").astype(np.int64)
+                words = row["vocabulary"].split(b" ") if len(counts) else []
                 yield from pa.table(
                     {
                         "lang": pa.array([row["lang"]] * len(words), pa.string()),
-                        "shard": pa.array(np.full(len(words), row["shard"])),
-                        "at": pa.array(np.arange(1, len(words) + 1, dtype=np.int32)),
                         "word": pa.array(words, pa.binary()).cast(pa.string()),
-                        "n": pa.array(counts.astype(np.int64)),
+                        "n": pa.array(counts),
                     }
                 ).to_batches(max_chunksize=50_000)
 
-    chosen = shards.select("lang", "shard", "vocabulary", "counts")
-    return chosen.mapInArrow(run, "lang string, shard long, at int, word string, n long")
+    return shards.select("lang", "vocabulary", "counts").mapInArrow(run, "lang string, word string, n long")
 
 
-def _shard_pairs(shards: DataFrame, own_words: DataFrame) -> DataFrame:
-    """(shard, pair, hash, n): each pair of neighbours among the frequent words of each shard.
+def neighbours(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different pairs of neighbours in a piece, in order, as 2**32 times the first plus the second, and their counts."""
+    first, second = numbers[:-1], numbers[1:]
+    both = (first > 0) & (second > 0)
+    return np.unique((first[both] << 32) | second[both], return_counts=True)
 
-    ``pair`` holds the shard's numbers, ``hash`` the words and language: equal pairs have equal hashes in all shards.
-    """
+
+def _shard_pairs(shards: DataFrame) -> DataFrame:
+    """(shard, at, hash, n): each of the ``neighbours`` of each shard; equal pairs of a language have equal hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                numbers = np.frombuffer(row["numbers"], dtype="<i4").astype(np.int64)
+                pairs, counts = neighbours(np.frombuffer(row["numbers"], dtype="<i4").astype(np.int64))
                 vocabulary = np.frombuffer(row["vocabulary"], dtype=np.uint8)
                 hashes = word_hashes(vocabulary, np.array([0, len(vocabulary)]))[0]
-                frequent = np.zeros(len(hashes) + 1, dtype=bool)
-                frequent[row["own"]] = True
-                both = frequent[numbers[:-1]] & frequent[numbers[1:]]
-                pairs, counts = np.unique((numbers[:-1][both] << 32) | numbers[1:][both], return_counts=True)
                 language = np.frombuffer(row["lang"].encode() + b"\0", dtype=np.uint8)
-                seed = mix(np.array([0], dtype=np.uint64) + word_hashes(language, np.array([0, len(language)]))[0][:1])
+                seed = mix(word_hashes(language, np.array([0, len(language)]))[0][:1])
                 first, second = hashes[(pairs >> 32) - 1], hashes[(pairs & 0xFFFFFFFF) - 1]
-                keys = mix(mix(first + seed) * np.uint64(0x9E3779B97F4A7C15) + second)
                 yield from pa.table(
                     {
                         "shard": pa.array(np.full(len(pairs), row["shard"])),
-                        "pair": pa.array(pairs),
-                        "hash": pa.array(keys.view(np.int64)),
+                        "at": pa.array(np.arange(len(pairs), dtype=np.int32)),
+                        "hash": pa.array(mix(mix(first + seed) + second).view(np.int64)),
                         "n": pa.array(counts.astype(np.int32)),
                     }
                 ).to_batches(max_chunksize=50_000)
 
-    chosen = shards.select("lang", "shard", "vocabulary", "numbers").join(own_words, "shard")
-    return chosen.mapInArrow(run, "shard long, pair long, hash long, n int")
+    chosen = shards.select("lang", "shard", "vocabulary", "numbers")
+    return chosen.mapInArrow(run, "shard long, at int, hash long, n int")
 
 
-def _shard_phrases(shards: DataFrame, own_pairs: DataFrame, depth: int) -> DataFrame:
+def _shard_phrases(shards: DataFrame, frequent: DataFrame, depth: int) -> DataFrame:
     """(lang, phrase, size, n): the phrases of each shard all of whose neighbours are frequent pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,7 +221,7 @@ def _shard_phrases(shards: DataFrame, own_pairs: DataFrame, depth: int) -> DataF
             for row in batch.to_pylist():
                 numbers = np.frombuffer(row["numbers"], dtype="<i4").astype(np.int64)
                 words = pa.array([b"", *row["vocabulary"].split(b" ")], pa.binary()).cast(pa.string())
-                runs = frequent_runs(numbers, np.sort(np.array(row["own"], dtype=np.int64)))
+                runs = frequent_runs(numbers, neighbours(numbers)[0][np.sort(np.array(row["own"], dtype=np.int64))])
                 for grams in WordIndex(runs).n_grams(depth):
                     phrases = pc.binary_join_element_wise(*(words.take(pa.array(c)) for c in grams.words.T), " ")
                     yield from pa.table(
@@ -238,7 +233,7 @@ def _shard_phrases(shards: DataFrame, own_pairs: DataFrame, depth: int) -> DataF
                         }
                     ).to_batches(max_chunksize=50_000)
 
-    chosen = shards.select("lang", "shard", "vocabulary", "numbers").join(own_pairs, "shard")
+    chosen = shards.select("lang", "shard", "vocabulary", "numbers").join(frequent, "shard")
     return chosen.mapInArrow(run, "lang string, phrase string, size int, n long")
 
 
@@ -248,24 +243,18 @@ def count_phrases(
     """All phrases of 1 to ``depth`` words that occur ``least`` times in their language, and each language's words in all.
 
     The first has (lang, phrase, size, f), the second (lang, n).  Hashes of pairs only say what to count, never how often:
-    two pairs that share one may be counted in vain, and the phrase itself decides.
+    two pairs that share one may be counted in vain, and the phrase itself decides.  A pair has one row per shard at most,
+    so frequent ones are no hot keys.
     """
     shards = stored(_shards(docs, text, lang, block_bytes), "phrase-shards")
     totals = stored(shards.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
-
-    words = stored(_shard_words(shards), "phrase-words")
-    frequent = words.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    frequent = stored(frequent, "frequent-words")
-    own_words = words.join(frequent, ["lang", "word"], "left_semi").groupBy("shard").agg(F.collect_list("at").alias("own"))
-
-    pairs = stored(_shard_pairs(shards, own_words), "phrase-pairs")
-    pair_sums = pairs.groupBy("hash").agg(F.sum("n").alias("f")).where(F.col("f") >= least).select("hash")
-    own_pairs = pairs.join(stored(pair_sums, "frequent-pairs"), "hash", "left_semi")
-    own_pairs = own_pairs.groupBy("shard").agg(F.collect_list("pair").alias("own"))
-
-    found = _shard_phrases(shards, own_pairs, depth).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("f"))
-    singles = frequent.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), "f")
-    return stored(singles.unionByName(found.where(F.col("f") >= least)), "phrases"), totals
+    words = _shard_words(shards).groupBy("lang", F.col("word").alias("phrase"), F.lit(1).alias("size"))
+    in_all = F.sum("n").over(Window.partitionBy("hash"))
+    pairs = _shard_pairs(shards).withColumn("f", in_all).where(F.col("f") >= least)
+    frequent = pairs.groupBy("shard").agg(F.collect_list("at").alias("own"))
+    found = _shard_phrases(shards, frequent, depth).groupBy("lang", "phrase", "size")
+    counted = words.agg(F.sum("n").alias("f")).unionByName(found.agg(F.sum("n").alias("f")))
+    return stored(counted.where(F.col("f") >= least), "phrases"), totals
 
 
 def _part(words: Column, begin: Column, length: Column) -> Column:
