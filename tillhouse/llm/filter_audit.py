@@ -53,6 +53,7 @@ def later_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     repeated = stored(repeated.select("hash"), "repeated-hashes")
     copies = rows.join(repeated, "hash", "left_semi")
     first = copies.groupBy(F.col("hash").alias("h"), F.col("own").alias("t")).agg(F.min("key").alias("least"))
+    first = stored(first, "first-copies")  # a join of two exchanges, which adaptive execution splits where one text is hot
     earlier = (F.col("hash") == F.col("h")) & (F.col("own") == F.col("t")) & (F.col("least") < F.col("key"))
     return copies.join(first, earlier, "left_semi").select("row.*")
 
