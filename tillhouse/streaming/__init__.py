@@ -1 +0,0 @@
-"""Empty on purpose: every operator of this engine is a batch operator."""

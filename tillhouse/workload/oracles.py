@@ -395,6 +395,49 @@ def expected_schema_rows() -> str:
     """
 
 
+FIRST_ORDERS = f"""
+    SELECT order_id, user_id, order_status, total_amount, 1 AS revision FROM ({ORDERS})
+    WHERE order_date < TIMESTAMP '2000-01-01'
+"""
+MERGED_ORDERS = f"""
+    SELECT order_id, user_id, CASE WHEN changed THEN 'X' ELSE order_status END AS order_status, total_amount,
+           CASE WHEN changed THEN 2 ELSE 1 END AS revision
+    FROM (SELECT *, order_date >= TIMESTAMP '2000-01-01' OR order_status = 'P' AS changed FROM ({ORDERS}))
+    WHERE total_amount >= 20000
+"""
+
+
+def as_of_orders(comparison: str) -> str:
+    return f"""
+    SELECT review_id, r.user_id, review_date, o.last_order, o.total_amount
+    FROM ({REVIEWS}) r ASOF LEFT JOIN (
+        SELECT user_id, order_date, max(order_id) AS last_order, arg_max(total_amount, order_id) AS total_amount
+        FROM ({ORDERS}) GROUP BY ALL
+    ) o ON r.user_id = o.user_id AND r.review_date {comparison} o.order_date
+    """
+
+
+EVENT_WINDOWS = f"""
+    SELECT make_timestamp(w * 21600000000) AS window_start, make_timestamp((w + 2) * 21600000000) AS window_end, event_type,
+           count(*) AS event_count, min(event_id) AS first_event, max(event_id) AS last_event
+    FROM (SELECT *, unnest([epoch_us(event_timestamp) // 21600000000 - 1, epoch_us(event_timestamp) // 21600000000]) AS w
+          FROM ({EVENTS}))
+    GROUP BY ALL
+"""
+EVENT_SESSIONS = f"""
+    SELECT min(event_timestamp) AS session_start, max(event_timestamp) + INTERVAL 8 HOUR AS session_end, user_id,
+           count(*) AS events
+    FROM (
+        SELECT *, count(*) FILTER (fresh) OVER (PARTITION BY user_id ORDER BY event_timestamp, event_id) AS number
+        FROM (
+            SELECT *, coalesce(event_timestamp - lag(event_timestamp) OVER (PARTITION BY user_id ORDER BY event_timestamp, event_id)
+                               > INTERVAL 8 HOUR, true) AS fresh
+            FROM ({EVENTS})
+        )
+    )
+    GROUP BY user_id, number
+"""
+
 ORACLES: dict[str, str] = {
     "contract_projection": f"SELECT order_id, total_amount, user_id FROM ({as_text('orders')})",
     "typed_cast": "SELECT order_id, user_id, order_date, order_status, total_amount FROM (" + ORDERS + ")",
@@ -521,5 +564,36 @@ ORACLES: dict[str, str] = {
     ),
     "silver_job": silver_summary(),
     "gold_job": gold_summary(),
+    "merged_orders": MERGED_ORDERS,
+    "merged_orders_before": FIRST_ORDERS,
+    "merged_orders_changes": f"""
+        SELECT *, 'removed' AS change FROM (({FIRST_ORDERS}) EXCEPT ({MERGED_ORDERS}))
+        UNION ALL SELECT *, 'added' FROM (({MERGED_ORDERS}) EXCEPT ({FIRST_ORDERS}))
+    """,
+    "reviews_as_of_orders": as_of_orders(">="),
+    "reviews_as_of_orders_large_users": as_of_orders(">"),
+    "events_after_purchases": f"""
+        SELECT v.event_id, p.event_id AS purchase_id, v.user_id
+        FROM ({EVENTS}) v JOIN ({EVENTS}) p ON v.user_id = p.user_id AND v.event_timestamp >= p.event_timestamp
+            AND v.event_timestamp < p.event_timestamp + INTERVAL 36 HOUR
+        WHERE v.event_type = 'view' AND p.event_type = 'purchase'
+    """,
+    "overlapping_fulfilments": f"""
+        WITH s AS (
+            SELECT user_id, order_id, order_date, shipped
+            FROM ({ORDERS}) JOIN (SELECT l_orderkey, max(l_shipdate) AS shipped FROM lineitem GROUP BY 1) ON order_id = l_orderkey
+            WHERE order_date < shipped
+        )
+        SELECT a.user_id, a.order_id AS order_a, b.order_id AS order_b
+        FROM s a JOIN s b ON a.user_id = b.user_id AND a.order_id < b.order_id
+            AND a.order_date < b.shipped AND b.order_date < a.shipped
+    """,
+    "event_windows": EVENT_WINDOWS,
+    "event_windows_streamed": EVENT_WINDOWS,
+    "event_sessions": EVENT_SESSIONS,
+    "event_sessions_streamed": f"""
+        SELECT * FROM ({EVENT_SESSIONS})
+        WHERE session_end <= (SELECT max(event_timestamp) - INTERVAL 20 DAY FROM ({EVENTS}))
+    """,
     "full_run": kpis(COMPLETE_ORDERS, kept_items()),
 }

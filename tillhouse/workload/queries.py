@@ -14,10 +14,13 @@ from tillhouse.functions.money import to_units
 from tillhouse.operators import contracts, dedup, kpis, loyalty, nulls, rules, sales
 from tillhouse.operators import orders as order_values
 from tillhouse.operators import products as rankings
+from tillhouse.operators import timejoin
 from tillhouse.operators import users as per_user
 from tillhouse.operators.provenance import stamp_batch
 from tillhouse.plans import jobs, policies
 from tillhouse.sources import tables as io
+from tillhouse.sources.versions import VersionedTable
+from tillhouse.streaming import windows
 from tillhouse.workload import tables as src
 
 BATCH = "batch-1"
@@ -595,3 +598,143 @@ def full_run(spark, folder):
         "avg_orders_count_per_user double, big_orders_share double"
     )
     return io.read_metrics(spark, paths["report"], schema)
+
+
+# Incremental merges
+
+
+def _merged_orders(spark: SparkSession, folder: str) -> VersionedTable:
+    """Orders in three versions: those before 2000; newer ones and changes; late news that are out of date, and deletions."""
+    orders = src.orders(spark, folder)
+    columns = ["order_id", "user_id", "order_status", "total_amount"]
+    recent = F.col("order_date") >= F.lit("2000-01-01").cast("timestamp")
+    first = orders.where(~recent).select(*columns, F.lit(1).alias("revision"))
+    changed = orders.where(recent | (F.col("order_status") == "P"))
+    changed = changed.withColumn("order_status", F.lit("X")).select(*columns, F.lit(2).alias("revision"))
+    outdated = orders.where(F.col("order_status") == "F").withColumn("order_status", F.lit("old"))
+    outdated = outdated.select(*columns, F.lit(0).alias("revision"), F.lit(False).alias("gone"))
+    small = orders.where(F.col("total_amount") < 20_000).select(*columns, F.lit(3).alias("revision"), F.lit(True).alias("gone"))
+    table = VersionedTable(spark, scratch_path(spark, "versions"))
+    table.create(first, ["order_id"])
+    table.merge(changed, "revision")
+    table.merge(outdated.unionByName(small), "revision", "gone")
+    return table
+
+
+@query
+def merged_orders(spark, folder):
+    """After two merges, which equal a recompute from all orders."""
+    return _merged_orders(spark, folder).read()
+
+
+@query
+def merged_orders_before(spark, folder):
+    """The first version, read after the merges."""
+    return _merged_orders(spark, folder).read(1)
+
+
+@query
+def merged_orders_changes(spark, folder):
+    """What differs between the first version and the last."""
+    return _merged_orders(spark, folder).changes(1, 3)
+
+
+# Joins in time
+
+
+def _reviews_as_of_orders(spark, folder, strict: bool, **options) -> DataFrame:
+    reviews = src.reviews(spark, folder).select("review_id", F.col("user_id"), "review_date")
+    orders = src.orders(spark, folder).select("user_id", "order_date", F.col("order_id").alias("last_order"), "total_amount")
+    return timejoin.as_of_join(
+        reviews, orders, ["user_id"], "review_date", "order_date", ["last_order", "total_amount"], ["last_order"], strict, **options
+    )
+
+
+@query
+def reviews_as_of_orders(spark, folder):
+    """Each review with its user's last order until then."""
+    return _reviews_as_of_orders(spark, folder, False)
+
+
+@query
+def reviews_as_of_orders_large_users(spark, folder):
+    """With most users' rows divided by time, and orders before the day of the review only."""
+    return _reviews_as_of_orders(spark, folder, True, min_hot_rows=20)
+
+
+@query
+def events_after_purchases(spark, folder):
+    """Views up to 36 hours after each purchase of their user."""
+    events = src.events(spark, folder)
+    views = events.where("event_type = 'view'").select("event_id", "user_id", "event_timestamp")
+    bought = events.where("event_type = 'purchase'").select(
+        F.col("event_id").alias("purchase_id"),
+        "user_id",
+        F.col("event_timestamp").alias("bought"),
+        (F.col("event_timestamp") + F.expr("INTERVAL 36 HOURS")).alias("until"),
+    )
+    found = timejoin.join_points_to_intervals(views, bought, "event_timestamp", "bought", "until", ["user_id"])
+    return found.select("event_id", "purchase_id", "user_id")
+
+
+@query
+def overlapping_fulfilments(spark, folder):
+    """Pairs of a user's orders of which one was placed before all lines of the other were shipped; months may pass."""
+    lines = src.sample(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("order_id"))
+    shipped = lines.agg(F.max(F.col("l_shipdate").cast("timestamp")).alias("shipped"))
+    spans = src.orders(spark, folder).join(shipped, "order_id").select("user_id", "order_id", "order_date", "shipped")
+    one = spans.toDF("user_id", "order_a", "ordered_a", "shipped_a")
+    two = spans.toDF("user_id", "order_b", "ordered_b", "shipped_b")
+    found = timejoin.join_overlapping(one, two, ("ordered_a", "shipped_a"), ("ordered_b", "shipped_b"), ["user_id"])
+    return found.where("order_a < order_b").select("user_id", "order_a", "order_b")
+
+
+# Windows and sessions, over the table and over a stream of it
+
+
+def _event_totals() -> dict[str, Column]:
+    return {"event_count": F.count(F.lit(1)), "first_event": F.min("event_id"), "last_event": F.max("event_id")}
+
+
+def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Events in four files by time; errors of the first half come a file late."""
+    events, path = src.events(spark, folder), scratch_path(spark, "events")
+    days = F.dayofmonth("event_timestamp")
+    number = F.least(F.floor((days - 1) / 8), F.lit(3)) + F.when((F.col("event_type") == "error") & (days <= 16), 1).otherwise(0)
+    for part in range(4):
+        events.where(number == part).coalesce(1).write.mode("append").parquet(path)
+    return windows.stream_files(spark, path, events.schema, 1)
+
+
+@query
+def event_windows(spark, folder):
+    """Twelve hours, every six."""
+    events = src.events(spark, folder)
+    return windows.window_totals(events, "event_timestamp", ["event_type"], _event_totals(), "12 hours", "6 hours")
+
+
+@query
+def event_windows_streamed(spark, folder):
+    """The same of a stream, late rows included, kept up to date in a versioned table."""
+    table = VersionedTable(spark, scratch_path(spark, "windows"))
+    totals = windows.window_totals(
+        _event_stream(spark, folder), "event_timestamp", ["event_type"], _event_totals(), "12 hours", "6 hours", "30 days"
+    )
+    keys = ["window_start", "window_end", "event_type"]
+    windows.keep_merged(totals, table, keys, scratch_path(spark, "windows-checkpoint"), buckets=8)
+    return table.read()
+
+
+@query
+def event_sessions(spark, folder):
+    """Sessions of users that end after eight hours without an event."""
+    return windows.session_counts(src.events(spark, folder), "event_timestamp", ["user_id"], "8 hours")
+
+
+@query
+def event_sessions_streamed(spark, folder):
+    """Sessions of a stream that are final once nothing earlier than 20 days before the last event may come."""
+    out, totals = scratch_path(spark, "sessions"), {"events": F.count(F.lit(1))}
+    found = windows.session_totals(_event_stream(spark, folder), "event_timestamp", ["user_id"], totals, "8 hours", "20 days")
+    windows.append_files(found, out, scratch_path(spark, "sessions-checkpoint"))
+    return spark.read.schema(found.schema).parquet(out)
