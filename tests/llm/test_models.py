@@ -1,8 +1,10 @@
 """Language model, classifier and packing: against plain Python, on held-out rows, and by round trips."""
 
+import json
 import math
 import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -183,9 +185,27 @@ def test_ids_are_those_of_the_file():
     own, file = packing.Tokenizer(TOKENIZER), Tokenizer.from_file(TOKENIZER)
     odd = ["", " ", "  ", "a  b", "a   b\n  c \t d", "x<|endoftext|>y z", "\n\n a", "it's John's x 12 3", "a \n b", "é́ 　 b  "]
     odd += ["  a", "a ", "tab\t b", "\r\n x", "a b c  d", "\x1c x \x85 y", "日本 語", "\U0001f600 x", *[t or "" for t in texts()]]
-    for _ in range(2):  # the second time from memory
-        for text, ids in zip(odd, own.encode(odd)):
-            assert ids.tolist() == file.encode(text, add_special_tokens=False).ids, text[:50]
+    for text, ids in zip(odd, own.encode(odd)):
+        assert ids.tolist() == file.encode(text, add_special_tokens=False).ids, text[:50]
+
+
+def test_long_texts_are_cut_between_tokens(monkeypatch):
+    own, file = packing.Tokenizer(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    long = [" ".join(["it's", "a  b", "\n c", "12 3", " \t", "x\x85 y", "日本"] * 40), "no-space" * 50, " " * 300 + "a b"]
+    for least in (1, 7, 100):
+        monkeypatch.setattr(packing, "SLICE", least)
+        assert all("".join(packing._parts(text, least)) == text for text in long)
+        for text, ids in zip(long, own.encode(long)):
+            assert ids.tolist() == file.encode(text, add_special_tokens=False).ids
+
+
+def test_other_kinds_of_tokenizer_files_are_refused(tmp_path):
+    found = json.loads(Path(TOKENIZER).read_text())
+    for change in ({"normalizer": {"type": "Lowercase"}}, {"model": {**found["model"], "merges": found["model"]["merges"][::-1]}}):
+        path = tmp_path / "other.json"
+        path.write_text(json.dumps({**found, **change}))
+        with pytest.raises(ValueError):
+            packing.Tokenizer(str(path))
 
 
 def test_placement_is_full_and_balanced():

@@ -10,8 +10,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
-from itertools import chain, repeat
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,27 +26,34 @@ CAPACITY = 2048
 LINEAR, QUADRATIC = 1.0, 1.0 / 2048
 END_ID = 1
 BLOCK_BYTES = 8 << 20  # text packed together
-SLICE = 1000  # texts tokenized together
-CACHED = 200_000  # stretches of text whose ids a worker remembers
+SLICE = 1 << 20  # characters tokenized together; a longer text is cut where no token can lie across
 # The split that byte-level tokenizers make before merging (fixed value).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-UNEVEN = re.compile(r" \s|\s |\A | \Z")  # a space that isn't between two other characters
+CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 class Tokenizer:
-    """Ids of texts as the file's byte-level BPE gives them, remembering those of stretches between spaces.
+    """Ids of texts as the file's byte-level BPE gives them.
 
-    Such a tokenizer splits a text before it merges, and never merges across a single space between two other characters:
-    the stretch that begins with the space has the ids that it has alone.  Stretches not seen lately are merged by tiktoken,
-    whose ranks are the file's ids; it takes a fifth of the time of the library that wrote the file.  Texts that hold a
-    special token go to that library.
+    The merging is done by tiktoken, whose ranks are the file's ids; it takes a fraction of the time of the library that
+    wrote the file.  That gives the same ids as long as the file does nothing else, which is checked: no normalizer, the split
+    of byte-level tokenizers, plain BPE, and merges in the order of the ids that they make.  Texts that hold a special token
+    go to that library.
+
+    Such a tokenizer splits a text before it merges, and never merges across a single space between two characters that are
+    no white space, so a long text is cut before such spaces.
     """
 
     def __init__(self, path: str):
         self.file = FileTokenizer.from_file(path)
-        split = json.loads(self.file.to_str())["pre_tokenizer"]
-        if split["type"] != "ByteLevel" or split["add_prefix_space"] or not split["use_regex"]:
+        found = json.loads(self.file.to_str())
+        split, model = found["pre_tokenizer"] or {}, found["model"]
+        if split.get("type") != "ByteLevel" or split["add_prefix_space"] or not split["use_regex"] or found["normalizer"]:
             raise ValueError(f"{path} is no byte-level tokenizer of texts as they are")
+        extras = "dropout unk_token continuing_subword_prefix end_of_word_suffix byte_fallback ignore_merges".split()
+        made = [model["vocab"]["".join(merge if isinstance(merge, list) else merge.split(" "))] for merge in model["merges"]]
+        if model["type"] != "BPE" or any(model.get(name) for name in extras) or made != sorted(made):
+            raise ValueError(f"{path} holds more than merges in the order of their ids")
         self.special = [token.content for token in self.file.get_added_tokens_decoder().values()]
         of_byte = {char: byte for byte, char in _byte_chars().items()}
         ranks = {
@@ -56,56 +62,27 @@ class Tokenizer:
             if token not in self.special
         }
         self.merges = tiktoken.Encoding("file", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
-        self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids = np.zeros(1 << 20, dtype=np.uint32)
-        self.ends = np.zeros(1 << 18, dtype=np.int64)  # where the ids of each known stretch end, from 1
-
-    def _learn(self, stretches: list[str]) -> None:
-        found = list(map(self.merges.encode_ordinary, stretches))
-        flat = np.fromiter(chain.from_iterable(found), dtype=np.uint32)
-        first, used = len(self.known), int(self.ends[len(self.known)])
-        while used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while first + len(found) >= len(self.ends):
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.ids[used : used + len(flat)] = flat
-        self.ends[first + 1 : first + 1 + len(found)] = used + np.cumsum(np.fromiter(map(len, found), dtype=np.int64))
-        self.known.update(zip(stretches, range(first, first + len(found))))
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+
+    def encode(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         """The ids of each text."""
-        found = self._merged(["" if self._has_special(text) else text for text in texts])
-        for k, text in enumerate(texts):
-            if self._has_special(text):
-                found[k] = np.array(self.file.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-        return found
-
-    def _has_special(self, text: str) -> bool:
-        return any(token in text for token in self.special)
-
-    def _merged(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > CACHED:
-            self.clear()
-        stretches: list[str] = []
-        sizes = []
         for text in texts:
-            found = _stretches(text)
-            stretches += found
-            sizes.append(len(found))
-        numbers = np.fromiter(map(self.known.get, stretches, repeat(-1)), dtype=np.int64, count=len(stretches))
-        new = np.flatnonzero(numbers < 0).tolist()
-        if new:
-            self._learn(list(dict.fromkeys(stretches[k] for k in new)))
-            numbers[new] = [self.known[stretches[k]] for k in new]
-        begins = self.ends[numbers]
-        lengths = self.ends[numbers + 1] - begins
-        total = np.concatenate([[0], np.cumsum(lengths)])
-        flat = self.ids[np.repeat(begins - total[:-1], lengths) + np.arange(total[-1])]
-        cuts = total[np.concatenate([[0], np.cumsum(sizes)])]
-        return [flat[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+            if any(token in text for token in self.special):
+                yield np.array(self.file.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+            elif len(text) <= SLICE:
+                yield np.array(self.merges.encode_ordinary(text), dtype=np.uint32)
+            else:
+                parts = [np.array(self.merges.encode_ordinary(part), dtype=np.uint32) for part in _parts(text, SLICE)]
+                yield np.concatenate(parts)
+
+
+def _parts(text: str, least: int) -> Iterator[str]:
+    """The text cut before single spaces between other characters, in parts of at least so many characters but for the last."""
+    at = 0
+    while at < len(text):
+        cut = CUT.search(text, at + least)
+        end = cut.start() if cut else len(text)
+        yield text[at:end]
+        at = end
 
 
 def _byte_chars() -> dict[int, str]:
@@ -115,20 +92,6 @@ def _byte_chars() -> dict[int, str]:
     return {byte: chr(byte) for byte in plain} | {byte: chr(256 + k) for k, byte in enumerate(rest)}
 
 
-def _stretches(text: str) -> list[str]:
-    """The text cut before each single space that stands between two characters that are no white space."""
-    parts = text.split(" ")
-    if not UNEVEN.search(text):
-        return parts[:1] + [" " + part for part in parts[1:]] if text else []
-    out = [parts[0]]
-    for before, part in zip(parts, parts[1:]):
-        if before and part and not before[-1].isspace() and not part[0].isspace():
-            out.append(" " + part)
-        else:
-            out[-1] += " " + part
-    return [part for part in out if part]
-
-
 def place(lengths: np.ndarray, capacity: int, linear: float, quadratic: float) -> list[tuple[int, int, int, int, int]]:
     """(document, start, length, sequence, offset) of all pieces; sequences are numbered from 0."""
     pieces: list[tuple[int, int, int, int, int]] = []
@@ -187,9 +150,7 @@ def pack_texts(
         next_id = TaskContext.get().partitionId() << 33
         for rows in rows_in_blocks(batches, "text", block_bytes):
             texts = [value or "" for value in rows["text"].to_pylist()]
-            ids: list[np.ndarray] = []
-            for k in range(0, len(texts), SLICE):
-                ids += [np.append(found, np.uint32(end_id)) for found in own.encode(texts[k : k + SLICE])]
+            ids = [np.append(found, np.uint32(end_id)) for found in own.encode(texts)]
             pieces = place(np.array([len(found) for found in ids], dtype=np.int64), capacity, linear, quadratic)
             document, start, length, sequence, offset = np.array(pieces, dtype=np.int64).reshape(-1, 5).T
             yield from pa.table(
