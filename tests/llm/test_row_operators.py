@@ -267,3 +267,17 @@ def test_contamination_of_nothing(spark):
     kept = decontaminate.drop_contaminated(docs, benchmark.limit(0))
     assert kept.schema.names == docs.schema.names and kept.count() == docs.count()
     assert decontaminate.find_contamination(docs, benchmark, keep=["doc_id"]).agg(F.sum("n_hit")).first()[0] > 0
+
+
+def test_texts_full_of_secrets(spark):
+    source = random.Random(11)
+    keys = ["".join(source.choices("0123456789abcdef", k=24)) for _ in range(3_000)]
+    long = "a/b" * 40_000  # one candidate, of words and slashes
+    cases = [" é".join(keys), "\n".join(SECRETS * 200), f"token = {keys[0]} {long} {keys[1]}"]
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    found = {row["row"]["doc_id"]: [tuple(span) for span in row["spans"]] for row in secret_scan.scan_secrets(docs).collect()}
+    assert found[0] == [(26 * k, 2, 26 * k + 24, "hex") for k in range(3_000)]
+    assert found[1] == all_spans(cases[1]) and len(found[2]) == 3
+    redacted = dict(secret_scan.redact_secrets(docs).collect())
+    assert redacted[0] == " é".join(["[secret]"] * 3_000)
+    assert redacted[2] == f"[secret] {long} [secret]"

@@ -2,13 +2,17 @@
 
 A candidate is a long run of key characters with letters and digits.  A window slides over it; its Shannon entropy follows
 from the counts of its characters, which change by one at each end per step: ``H = log2(w) - sum(c * log2(c)) / w``.
+
+Times grow in proportion to a text, however many matches it holds: places are sums over chunks of a list, spans are merged in
+order, and what is between them is cut out of short parts of the text.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from operator import add
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -46,6 +50,7 @@ class Alphabet:
 
 
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}+"
+CHARACTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"  # of a candidate
 LIKELY = r"^(?=.*[0-9])(?=.*[A-Za-z])"
 ALPHABETS = (Alphabet("hex", r"^[0-9a-fA-F]+$", 3.0), Alphabet("base64", r"^[A-Za-z0-9+/_-]+$", 3.7))
 WINDOW = 20
@@ -56,7 +61,7 @@ ALLOWED = (
     r"(?i)example|sample|placeholder|dummy|changeme|your[-_]?key",
     RUN,
     r"(?i)0123456789|abcdefghij",
-    r"^[A-Za-z]*(?:[/_-][A-Za-z]+)+[/_-]?[0-9]{0,8}$",
+    r"^[A-Za-z]*+(?:[/_-][A-Za-z]++)++[/_-]?[0-9]{0,8}$",
     r"^[A-Z]?[a-z]+[0-9]{1,6}$",
     r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
 )
@@ -64,22 +69,55 @@ HELD = {RUN: 8}  # characters of a match that a window must hold to be allowed,
 ENTROPY = "entropy"
 
 
+CHUNK = 128  # entries of a list whose sums are kept
+
+
+def _before(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """For each number of a list what ``combine`` makes of 0 and all before it.
+
+    An aggregate copies its state in each step, so none here holds a list: the chunks of a list are combined first, then
+    those before each chunk, and each number adds what stands before it in its own chunk.
+    """
+    zero = F.lit(0)
+
+    def of_chunks(numbers: Column) -> Column:
+        places = F.sequence(zero, F.floor((F.size(numbers) - 1) / CHUNK).cast("int"))
+        each = F.transform(places, lambda k: F.aggregate(F.slice(numbers, k * CHUNK + 1, CHUNK), zero, combine))
+        return let(each, lambda found: F.transform(found, lambda _, k: F.aggregate(F.slice(found, 1, k), zero, combine)))
+
+    def of_numbers(numbers: Column, chunks: Column) -> Column:
+        def one(k: Column) -> Column:
+            first = F.floor(k / CHUNK).cast("int")
+            own = F.aggregate(F.slice(numbers, first * CHUNK + 1, k - first * CHUNK), zero, combine)
+            return combine(F.get(chunks, first), own)
+
+        return F.transform(numbers, lambda _, k: one(k))
+
+    none = F.array().cast("array<int>")
+    return let(
+        values,
+        lambda numbers: F.when(F.size(numbers) == 0, none).otherwise(
+            let(of_chunks(numbers), lambda chunks: of_numbers(numbers, chunks))
+        ),
+    )
+
+
+def _greater(one: Column, other: Column) -> Column:
+    return F.greatest(one, other)
+
+
 def _matches(text: Column, pattern: str) -> Column:
     """Leftmost matches that don't overlap, as (start, text) in code points; nothing is cut out where nothing matches."""
 
     def place(found: Column, gaps: Column) -> Column:
-        empty = F.array().cast("array<struct<start:int,text:string>>")
-        first = F.struct(F.lit(0).alias("at"), empty.alias("out"))
-
-        def step(done: Column, match: Column, k: Column) -> Column:
-            start = done["at"] + F.length(F.get(gaps, k))
-            return F.struct(
-                (start + F.length(match)).alias("at"),
-                F.array_append(done["out"], F.struct(start.alias("start"), match.alias("text"))).alias("out"),
-            )
-
-        numbered = F.transform(found, lambda match, k: F.struct(match.alias("m"), k.alias("k")))
-        return F.aggregate(numbered, first, lambda done, entry: step(done, entry["m"], entry["k"]), lambda done: done["out"])
+        widths = F.transform(found, lambda match, k: F.length(F.get(gaps, k)) + F.length(match))
+        return let(
+            _before(widths, add),
+            lambda before: F.transform(
+                found,
+                lambda match, k: F.struct((F.get(before, k) + F.length(F.get(gaps, k))).alias("start"), match.alias("text")),
+            ),
+        )
 
     hits = let(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
@@ -119,51 +157,70 @@ def _allowed_ends(candidate: Column, window: int, patterns: Sequence[str]) -> Co
 def _suspicious(candidate: Column, window: int, bits: Column, allowed: Column) -> Column:
     """First and last position (exclusive) of the windows of at least so many bits; null if there is none.
 
-    Windows that end where ``allowed`` says are passed over.
+    Windows that end where ``allowed`` says are passed over.  The counts of the characters in the window are kept, several
+    to a number.
     """
     weigh = F.array(*(F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 2)))
+    width = (window + 1).bit_length()
+    each = 62 // width  # counts to a number
+    none = F.array(*(F.lit(0).cast("long") for _ in range(-(-len(CHARACTERS) // each))))
+
+    def place(char: Column) -> Column:
+        return F.instr(F.lit(CHARACTERS), char) - 1
+
+    def change(counts: Column, total: Column, at: Column, by: int) -> tuple[Column, Column]:
+        """The counts and the total of the weights, with one more or less of the character at that place; none if it is -1."""
+        shift = (at % each) * width
+        count = F.call_function("shiftright", F.get(counts, F.floor(at / each).cast("int")), shift).bitwiseAND((1 << width) - 1).cast("int")
+        one = F.call_function("shiftleft", F.lit(by).cast("long"), shift)
+        changed = F.transform(counts, lambda number, k: F.when(k == F.floor(at / each), number + one).otherwise(number))
+        new = total + F.get(weigh, count + by) - F.get(weigh, count)
+        return F.when(at < 0, counts).otherwise(changed), F.when(at < 0, total).otherwise(new)
+
+    def slide(chars: Column) -> Column:
+        def step(state: Column, char: Column) -> Column:
+            left = F.when(state["at"] >= window, place(F.get(chars, state["at"] - window))).otherwise(-1)
+
+            def without(rest: Column) -> Column:
+                counts, total = change(rest["counts"], rest["total"], rest["enters"], 1)
+                at = state["at"] + 1
+                match = F.get(allowed, state["taken"])
+                reached = F.coalesce(match["first"] <= at, F.lit(False))
+                until = F.when(reached, F.greatest(state["until"], match["last"])).otherwise(state["until"])
+
+                def judged(total: Column) -> Column:
+                    hit = (at >= window) & (at > until) & (F.lit(math.log2(window)) - total / window >= bits)
+                    return F.struct(
+                        counts.alias("counts"),
+                        total.alias("total"),
+                        at.alias("at"),
+                        (state["taken"] + F.when(reached, 1).otherwise(0)).alias("taken"),
+                        until.alias("until"),
+                        F.coalesce(state["first"], F.when(hit, at - window)).alias("first"),
+                        F.when(hit, at).otherwise(state["last"]).alias("last"),
+                    )
+
+                return let(total, judged)
+
+            def leave(at: Column) -> Column:
+                counts, total = change(state["counts"], state["total"], at, -1)
+                return F.struct(counts.alias("counts"), total.alias("total"), place(char).alias("enters"))
+
+            return let(let(left, leave), without)
+
+        nothing = F.lit(None).cast("int")
+        first = F.struct(
+            none.alias("counts"),
+            F.lit(0.0).alias("total"),
+            F.lit(0).alias("at"),
+            F.lit(0).alias("taken"),
+            F.lit(0).alias("until"),
+            nothing.alias("first"),
+            nothing.alias("last"),
+        )
+        return F.aggregate(chars, first, step)
 
-    def change(inside: Column, char: Column, by: int) -> Column:
-        count = F.length(inside) - F.length(F.replace(inside, char, F.lit("")))
-        return F.get(weigh, count + by) - F.get(weigh, count)
-
-    def step(state: Column, char: Column) -> Column:
-        full = F.length(state["inside"]) == window
-        left = F.when(full, F.substring(state["inside"], 1, 1)).otherwise(F.lit(""))
-        less = F.when(full, change(state["inside"], left, -1)).otherwise(0.0)
-        rest = F.when(full, F.substr(state["inside"], F.lit(2))).otherwise(state["inside"])
-
-        def next_state(rest: Column) -> Column:
-            total = state["total"] + less + change(rest, char, 1)
-            at = state["at"] + 1
-            match = F.get(allowed, state["taken"])
-            reached = F.coalesce(match["first"] <= at, F.lit(False))
-            until = F.when(reached, F.greatest(state["until"], match["last"])).otherwise(state["until"])
-            hit = (at >= window) & (at > until) & (F.lit(math.log2(window)) - total / window >= bits)
-            return F.struct(
-                F.concat(rest, char).alias("inside"),
-                total.alias("total"),
-                at.alias("at"),
-                (state["taken"] + F.when(reached, 1).otherwise(0)).alias("taken"),
-                until.alias("until"),
-                F.coalesce(state["first"], F.when(hit, at - window)).alias("first"),
-                F.when(hit, at).otherwise(state["last"]).alias("last"),
-            )
-
-        return let(rest, next_state)
-
-    nothing = F.lit(None).cast("int")
-    first = F.struct(
-        F.lit("").alias("inside"),
-        F.lit(0.0).alias("total"),
-        F.lit(0).alias("at"),
-        F.lit(0).alias("taken"),
-        F.lit(0).alias("until"),
-        nothing.alias("first"),
-        nothing.alias("last"),
-    )
-    chars = F.split(candidate, "", -1)
-    return F.aggregate(F.filter(chars, lambda char: char != ""), first, step)
+    return let(F.filter(F.split(candidate, "", -1), lambda char: char != ""), slide)
 
 
 def _entropy_spans(text: Column, rank: int, window: int, alphabets: Sequence[Alphabet], allowed: Sequence[str]) -> Column:
@@ -200,15 +257,16 @@ def secret_spans(
     """Spans (start, rank, end, kind) in order; entropy spans inside a span of a known shape are left out."""
     text = F.coalesce(text, F.lit(""))
     known = F.concat(*(_shape_spans(text, shape, rank) for rank, shape in enumerate(shapes)))
+    added = _entropy_spans(text, len(shapes), window, alphabets, allowed)
 
-    def combine(base: Column) -> Column:
-        def new(span: Column) -> Column:
-            return ~F.exists(base, lambda b: (b["start"] <= span["start"]) & (span["end"] <= b["end"]))
-
-        added = F.filter(_entropy_spans(text, len(shapes), window, alphabets, allowed), new)
-        return F.array_sort(F.concat(base, added))
+    def merged(spans: Column) -> Column:  # at one start those of known shapes come first
+        ends = F.transform(spans, lambda span: F.when(span["rank"] < len(shapes), span["end"]).otherwise(0))
+        return let(
+            _before(ends, _greater),
+            lambda reach: F.filter(spans, lambda span, k: (span["rank"] < len(shapes)) | (span["end"] > F.get(reach, k))),
+        )
 
-    return let(known, combine)
+    return let(F.array_sort(F.concat(known, added)), merged)
 
 
 def scan_secrets(docs: DataFrame, text: str = "text", **options) -> DataFrame:
@@ -227,19 +285,33 @@ def joined(spans: Column) -> Column:
     )
 
 
+PART = 1024  # code points of the parts that a text is cut into to copy what lies between spans
+
+
 def redact(text: Column, spans: Column, mark: str = "[secret]") -> Column:
     """The text with each span, or run of overlapping spans, replaced by ``mark``; null stays null."""
-    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(done: Column, span: Column) -> Column:
-        gap = span["start"] - done["at"]
-        before = F.when(gap >= 0, F.concat(F.substr(text, done["at"] + 1, gap), F.lit(mark))).otherwise(F.lit(""))
-        return F.struct(
-            F.greatest(done["at"], span["end"]).alias("at"), F.concat(done["out"], before).alias("out")
+    def cut(parts: Column, gap: Column) -> Column:
+        first = F.floor(gap["start"] / PART).cast("int")
+        count = F.floor((gap["end"] - 1) / PART).cast("int") - first + 1
+        near = F.array_join(F.slice(parts, first + 1, count), "")
+        return F.when(gap["end"] <= gap["start"], "").otherwise(
+            F.substr(near, gap["start"] - first * PART + 1, gap["end"] - gap["start"])
         )
 
-    cut = F.aggregate(spans, first, step, lambda done: F.concat(done["out"], F.substr(text, done["at"] + 1)))
-    return F.when(F.size(spans) == 0, text).otherwise(cut)
+    end = F.struct(F.length(text).alias("start"), F.lit(0).alias("rank"), F.length(text).alias("end"), F.lit("").alias("kind"))
+
+    def joined_gaps(parts: Column, all_spans: Column, done: Column) -> Column:
+        gaps = F.transform(all_spans, lambda span, k: F.struct(F.get(done, k).alias("start"), span["start"].alias("end")))
+        kept = F.filter(gaps, lambda gap: gap["start"] <= gap["end"])
+        return F.array_join(F.transform(kept, lambda gap: cut(parts, gap)), mark)
+
+    def between(parts: Column, all_spans: Column) -> Column:
+        ends = F.transform(all_spans, lambda span: span["end"])
+        return let(_before(ends, _greater), lambda done: joined_gaps(parts, all_spans, done))
+
+    clean = let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PART}}}"), F.lit(0)), lambda parts: let(F.array_append(spans, end), lambda x: between(parts, x)))
+    return F.when(F.size(spans) == 0, text).otherwise(clean)
 
 
 def redact_secrets(docs: DataFrame, text: str = "text", length: str | None = None, **options) -> DataFrame:
