@@ -10,14 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from tillhouse.functions.materialize import scratch_path
 from tillhouse.llm import decontaminate, packing, quality_rules, secret_scan, simhash
 from tillhouse.llm.common import table
-from tillhouse.llm.queries import TOKENIZER, describe_pieces, reach_package
+from tillhouse.llm.queries import TOKENIZER, reach_package
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no quality rule rejects; none is too long."""
-    return quality_rules.keep_good(docs, rules=quality_rules.ANY_LENGTH)
+    """Documents that no quality rule rejects."""
+    return quality_rules.keep_good(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,9 +38,9 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences."""
+    """The pieces of all documents in sequences, with their token ids."""
     reach_package(spark)
-    return describe_pieces(packing.pack_texts(docs, public_tokenizers.path(TOKENIZER)))
+    return packing.pack_texts(docs, public_tokenizers.path(TOKENIZER))
 
 
 STAGES: list[tuple[str, Stage]] = [
