@@ -2,8 +2,11 @@
 
 from pathlib import Path
 
+import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from check import compare, connect
@@ -11,7 +14,7 @@ from tests.llm.test_groups import components
 from tests.llm.test_row_operators import all_spans, contamination, counts
 from tillhouse.llm import quality_rules
 from tillhouse.llm.oracles import ORACLES
-from tillhouse.llm.queries import QUERIES
+from tillhouse.llm.queries import QUERIES, TOKENIZER
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -62,6 +65,12 @@ def test_pipeline(spark):
     pieces = stages["packing"](spark, redacted, FOLDER)
     tokens = pieces.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("total")).collect()
     assert {row["doc_id"] for row in tokens} == set(after) and all(row["n"] == row["total"] for row in tokens)
+    own = Tokenizer.from_file(public_tokenizers.path(TOKENIZER))
+    ids = {}
+    for row in pieces.orderBy("doc_id", "start").collect():
+        ids.setdefault(row["doc_id"], []).extend(np.frombuffer(row["ids"], dtype="<u4").tolist())
+    for key, row in after.items():
+        assert ids[key] == [*own.encode(row["text"] or "", add_special_tokens=False).ids, 1]
 
     whole = corpus_pipeline.run(spark, FOLDER)
     assert {row["doc_id"] for row in whole.select("doc_id").distinct().collect()} == set(after)

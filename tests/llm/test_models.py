@@ -135,7 +135,7 @@ def test_classifier_of_awkward_texts(spark, monkeypatch):
     assert by_id[14] == by_id[15]  # null and empty
     whole = model.logits([bodies[20]])[0]
     monkeypatch.setattr(quality_classifier, "SLICE", 5000)
-    assert model.logits([bodies[20]])[0] == pytest.approx(whole, abs=1e-2)
+    assert model.logits([bodies[20]])[0] == pytest.approx(whole, abs=1e-9)
     assert quality_classifier.score_quality(empty(spark), model).count() == 0
     assert quality_classifier.fit([], []).scores(["x"]) == [0.5]
 
@@ -219,3 +219,16 @@ def test_placement_is_full_and_balanced():
     assert len(load) == -(-int(lengths.sum()) // 1000)
     assert len(pieces) < len(lengths) * 1.5
     assert max(cost.values()) < 1.6 * sum(cost.values()) / len(cost)
+
+
+def test_slices_change_no_features(monkeypatch):
+    some = ["again " * 40 + "once", "a b\n\nb  b c" * 9, "long" * 30, "", "  ", "x " + "y" * 50 + " " + "y" * 50 + " \t z"]
+
+    def found():
+        parts = [(b, o) for b, o in quality_classifier.features(some)]
+        return Counter(zip(np.concatenate([b for b, _ in parts]).tolist(), np.concatenate([o for _, o in parts]).tolist()))
+
+    whole = found()
+    for size in (1, 3, 8, 40):
+        monkeypatch.setattr(quality_classifier, "SLICE", size)
+        assert found() == whole

@@ -281,3 +281,11 @@ def test_texts_full_of_secrets(spark):
     redacted = dict(secret_scan.redact_secrets(docs).collect())
     assert redacted[0] == " é".join(["[secret]"] * 3_000)
     assert redacted[2] == f"[secret] {long} [secret]"
+
+
+def test_very_long_clean_texts_are_kept(spark):
+    source = random.Random(3)
+    text = " ".join(source.choice(["the", "of", "and"]) if k % 3 == 0 else f"word{source.randrange(10**6)}" for k in range(100_001))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = quality_rules.apply_rules(docs).first()
+    assert row["n_words"] == 100_001 and row["kept"], row["broken_rules"]

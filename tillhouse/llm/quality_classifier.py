@@ -8,6 +8,7 @@ bucket: the logit of a document is the mean of the numbers of its features.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,6 +29,7 @@ SLICE = 1 << 18  # characters whose features are held at a time
 BLOCK_BYTES = 8 << 20
 
 _BREAKS = np.array([9, 10, 11, 12, 13, 32], dtype=np.uint32)
+_WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 _TEXT, _AGAIN = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 
 
@@ -78,18 +80,21 @@ def _features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def features(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """``_features`` of consecutive slices of the texts, with text numbers for all of them.
 
-    A text longer than a slice is taken apart between words, so its one common feature comes once per slice.
+    A text longer than a slice is taken apart between words, which changes none of its features.
     """
-    held: list[tuple[int, str]] = []
+    held: list[tuple[int, str, str | None]] = []
     size = 0
     for k, text in enumerate(texts):
+        before = None  # the last word of the piece before
         while text is not None:
             piece, text = _split(text)
             if held and size + len(piece) > SLICE:
                 yield _numbered(held)
                 held, size = [], 0
-            held.append((k, piece))
+            held.append((k, piece, before))
             size += len(piece)
+            if text is not None:
+                before = next(reversed(_WORDS.findall(piece)), before or "")
     if held:
         yield _numbered(held)
 
@@ -101,9 +106,15 @@ def _split(text: str) -> tuple[str, str | None]:
     return (text, None) if cut is None else (text[:cut], text[cut:])
 
 
-def _numbered(held: list[tuple[int, str]]) -> tuple[np.ndarray, np.ndarray]:
-    buckets, owners = _features([piece for _, piece in held])
-    return buckets, np.array([k for k, _ in held])[owners]
+def _numbered(held: list[tuple[int, str, str | None]]) -> tuple[np.ndarray, np.ndarray]:
+    """The features of pieces; of those that continue a text (with a word before), without the one that all texts have."""
+    buckets, owners = _features([piece for _, piece, _ in held])
+    numbers = np.array([k for k, _, _ in held])
+    keep = np.ones(len(buckets), dtype=bool)
+    keep[: len(held)] = [before is None for _, _, before in held]
+    seams = [k for k, piece, before in held if before and (word := _WORDS.search(piece)) and word[0] == before]
+    again = np.full(len(seams), mix(np.array([_AGAIN]))[0] >> np.uint64(64 - BITS)).astype(np.int64)
+    return np.concatenate([buckets[keep], again]), np.concatenate([numbers[owners[keep]], np.array(seams, dtype=numbers.dtype)])
 
 
 def _sparse(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:

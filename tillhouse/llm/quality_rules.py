@@ -6,7 +6,7 @@ All measures are integers; a rule bounds one of them by a share of another, in i
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
@@ -46,7 +46,7 @@ class Rule:
 
 
 RULES = (
-    Rule("words", "n_words", low=50, high=100_000),
+    Rule("words", "n_words", low=50),
     Rule("word length", "word_chars", "n_words", low=250, high=1200),
     Rule("symbols", "n_symbols", "n_words", high=10),
     Rule("exclamation marks", "n_marks", "n_words", high=20),
@@ -56,9 +56,6 @@ RULES = (
     Rule("repeated words", "n_repeat_words", "n_words", high=50),
 )
 
-# The same without a limit to the number of words: the shares judge a long text already.
-ANY_LENGTH = tuple(replace(rule, high=None) if rule.name == "words" else rule for rule in RULES)
-
 
 def _count_chars(text: Column, pattern: str) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
