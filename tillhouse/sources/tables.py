@@ -62,15 +62,17 @@ def scan_csv_tables(
 def scan_parquet_tables(
     spark: SparkSession, folder: str, names: Sequence[str], probe: bool = False
 ) -> dict[str, DataFrame]:
-    """All the named tables, or an empty set if any of them is missing or unreadable."""
+    """All the named tables, or an empty set if any of them is missing.  One that cannot be read raises."""
 
     def read(name: str) -> DataFrame:
         return _probed(spark.read.parquet(_below(folder, name)), probe)
 
     try:
         return run_together(spark, {name: partial(read, name) for name in names})
-    except Exception as error:
-        log.error("some of the tables %s cannot be read from %s: %s", list(names), folder, error)
+    except AnalysisException as error:
+        if not _is_absent(error):
+            raise
+        log.error("some of the tables %s are missing in %s: %s", list(names), folder, error)
         return {}
 
 
