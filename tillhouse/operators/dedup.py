@@ -43,11 +43,14 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> KeySet:
     return KeySet.of(counted.where(F.col("_rows") > 1).select(*keys))
 
 
-def _rows_with(df: DataFrame, keys: Sequence[str], repeated: KeySet, kind: str) -> DataFrame:
-    """The rows with (``left_semi``) or without (``left_anti``) a repeated key; a null is a key like any other."""
+def _rows_with(df: DataFrame, keys: Sequence[str], repeated: KeySet, kind: str, few: bool = True) -> DataFrame:
+    """The rows with (``left_semi``) or without (``left_anti``) a repeated key; a null is a key like any other.
+
+    ``few`` keys are broadcast, otherwise rows and keys are shuffled.
+    """
     others = repeated.keys.select(*[F.col(key).alias(f"_{key}") for key in keys])
     same = reduce(and_, [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys])
-    return df.join(F.broadcast(others), same, kind)
+    return df.join(F.broadcast(others) if few else others, same, kind)
 
 
 def keep_survivors(
@@ -111,7 +114,7 @@ def reject_copies(
     repeated = repeated_keys(df, keys) if repeated is None else repeated
     if repeated.count == 0:
         return df.where(F.lit(False))
-    copies = _rows_with(df, keys, repeated, "left_semi") if repeated.fits(max_broadcast) else df
+    copies = _rows_with(df, keys, repeated, "left_semi", repeated.fits(max_broadcast))
     return mark_survivors(copies, keys, "_kept").where(~F.col("_kept")).drop("_kept")
 
 
