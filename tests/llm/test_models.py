@@ -79,6 +79,58 @@ def test_language_model(spark, order, tmp_path):
             assert sum(model.p(history, word) for word in [*words, "new"]) == pytest.approx(1)
 
 
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_totals_do_not_depend_on_levels(spark, parts, monkeypatch):
+    """Requests of many blocks for many parts, over up to four levels, get the sums by n-gram."""
+    levels = lm_scoring.Levels.of(parts, 4)
+    assert levels.fan <= 4 and levels.parts(levels.depth) >= parts
+    random = np.random.default_rng(parts)
+    known = np.unique(random.integers(0, 1 << 63, 400, dtype=np.uint64) * np.uint64(2) + np.arange(400, dtype=np.uint64) % np.uint64(2))
+    rows, asked, sums = [], {}, Counter()
+    for block in range(60):
+        keys = np.sort(random.choice(known, 90, replace=False))
+        counts = random.integers(0, 5, len(keys))
+        asked[block << 24] = keys.tolist()
+        sums.update(dict(zip(keys.tolist(), counts.tolist())))
+        rows += pa.table(lm_scoring._request_rows(levels, 1, 0, block << 24, str(block), keys, counts)).to_pylist()
+    requests = spark.createDataFrame(rows, lm_scoring.REQUESTS)
+    answers, tokens, words = lm_scoring.totals_of(requests, levels)
+    found = {}
+    for row in answers.orderBy("asker", "part").collect():
+        assert row["check"] == str(row["asker"] >> 24)
+        found.setdefault(row["asker"], []).extend(lm_scoring.unpack(row["totals"], np.int64).tolist())
+    assert found == {block: [sums[key] for key in keys] for block, keys in asked.items()}
+    assert tokens == sum(n for key, n in sums.items() if key & 1)
+    assert words == sum(n > 0 for key, n in sums.items() if key & 1)
+
+
+def test_requests_of_a_block_do_not_grow_with_the_corpus():
+    keys = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 300_000, dtype=np.uint64) * np.uint64(2))
+    counts = np.ones(len(keys), dtype=np.int64)
+    sizes = []
+    for parts in (100, 10_000, 100_000, 10_000_000):
+        levels = lm_scoring.Levels.of(parts, lm_scoring.FAN)
+        rows = pa.table(lm_scoring._request_rows(levels, 1, 0, 0, "check", keys, counts))
+        assert rows.num_rows <= lm_scoring.FAN and levels.depth <= 3
+        sizes.append(rows.nbytes)
+        for level in range(1, levels.depth + 1):  # what one task merges: as many requests as one has been divided into
+            assert parts <= levels.parts(level) * levels.groups(level) < 2 * parts
+    assert max(sizes) < 1.1 * min(sizes)
+
+
+def test_language_model_in_levels(spark, tmp_path, monkeypatch):
+    awkward(spark).repartition(7).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+
+    def scored():
+        return sorted(map(repr, lm_scoring.score_texts(docs, F.expr("doc_id % 4 <> 0")).collect()))
+
+    whole = scored()
+    for name, value in (("PART_BYTES", 20_000), ("BLOCK_BYTES", 5_000), ("FAN", 3)):
+        monkeypatch.setattr(lm_scoring, name, value)
+    assert scored() == whole
+
+
 def test_language_model_of_nothing(spark):
     docs = empty(spark)
     assert lm_scoring.score_texts(docs, F.lit(True)).count() == 0

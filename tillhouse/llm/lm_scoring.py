@@ -11,6 +11,12 @@ The whole automaton grows with the corpus, so no task holds it.  Documents are c
 counts of its distinct n-grams, and says how often its own training documents have them; requests meet by n-gram, where
 counts from all blocks are added up; each block gets the totals back in the order in which it asked, builds its part of
 the automaton and traverses its documents once, left to right.  N-grams are known by 64-bit hashes.
+
+Requests go to parts of the range of hashes.  A request for each block and part would be a number of rows that grows with
+the square of the corpus, so with more than ``FAN`` parts they go in levels (``Levels``): a block asks at most ``FAN``
+ranges, about as many blocks' requests for one range are merged into one, which asks the ``FAN`` ranges inside, and so on.
+At every level a block has at most ``FAN`` rows and a task holds about as much as one block asks for.  Answers come back
+the same way.
 """
 
 from __future__ import annotations
@@ -29,12 +35,14 @@ from pyspark.sql.pandas.types import to_arrow_type
 from tillhouse.functions.materialize import stored
 from tillhouse.llm.blocks import mix, raw_texts, rows_in_blocks, word_hashes
 
-ORDER = 2
+ORDER = 3
 MU = 4.0
-BLOCK_BYTES = 8 << 20  # text of a block: its n-grams are held by one task
-PART_BYTES = 12 << 20  # text for each of the parts in which counts are added up
+BLOCK_BYTES = 5 << 20  # text of a block: its n-grams are held by one task
+PART_BYTES = 7 << 20  # text for each of the parts in which counts are added up
+FAN = 512  # ranges that one request is divided into, at most
+TASKS = 16_384  # of an exchange, at most; a task may hold several parts, one after the other
 END, BEGIN = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
-STATISTICS = -1  # the block number of rows with totals of a part
+STATISTICS = -1  # who asked, in rows with totals of a part
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -86,9 +94,41 @@ class Grams:
         return every, numbers
 
 
-def part_limits(parts: int) -> np.ndarray:
-    """The smallest key of each part but the first."""
-    return np.array([(k << 64) // parts for k in range(1, parts)], dtype=np.uint64)
+@dataclass(frozen=True)
+class Levels:
+    """How requests find their parts: ``depth`` times, each range of hashes is divided into ``fan`` equal ones."""
+
+    fan: int
+    depth: int
+
+    @classmethod
+    def of(cls, parts: int, most: int) -> Levels:
+        """The fewest levels with at least that many parts."""
+        depth = 1
+        while most**depth < parts:
+            depth += 1
+        fan = 1
+        while fan**depth < parts:
+            fan += 1
+        return cls(fan, depth)
+
+    def parts(self, level: int) -> int:
+        return self.fan**level
+
+    def groups(self, level: int) -> int:
+        """Into how many groups those who ask at a level fall: with fewer ranges to ask, more of them are merged."""
+        return self.fan ** (self.depth - level)
+
+    def limits(self, level: int, part: int) -> np.ndarray:
+        """The smallest key of each range at a level inside a range of the level before, but of the first."""
+        parts = self.parts(level)
+        return np.array([(k << 64) // parts for k in range(part * self.fan + 1, (part + 1) * self.fan)], dtype=np.uint64)
+
+    def divide(self, level: int, part: int, keys: np.ndarray) -> tuple[list[int], list[slice]]:
+        """The ranges inside ``part`` that hold any of some keys in order, and where those are."""
+        cuts = [0, *np.searchsorted(keys, self.limits(level, part)).tolist(), len(keys)]
+        some = [k for k in range(self.fan) if cuts[k] < cuts[k + 1]]
+        return [part * self.fan + k for k in some], [slice(cuts[k], cuts[k + 1]) for k in some]
 
 
 def _numbered_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table, str]]:
@@ -102,9 +142,24 @@ def _numbered_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, p
         yield task << 24 | k, rows, check.hexdigest()
 
 
-def _ask(order: int, parts: int):
-    limits = part_limits(parts)
+REQUESTS = "part int, asker long, check string, keys binary, counts binary"
+ANSWERS = "asker long, part int, check string, totals binary, tokens long, words long"
+
+
+def _request_rows(
+    levels: Levels, level: int, part: int, asker: int, check: str | None, keys: np.ndarray, counts: np.ndarray
+) -> dict[str, pa.Array]:
+    wanted, spans = levels.divide(level, part, keys)
+    return {
+        "part": pa.array(wanted, pa.int32()),
+        "asker": pa.array([asker] * len(wanted), pa.int64()),
+        "check": pa.array([check] * len(wanted), pa.string()),
+        "keys": pa.array([pack(np.diff(keys[s], prepend=np.uint64(0))) for s in spans], pa.binary()),
+        "counts": pa.array([pack(counts[s]) for s in spans], pa.binary()),
+    }
+
 
+def _ask(order: int, levels: Levels):
     def requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, rows, check in _numbered_blocks(batches):
             grams = Grams.of(rows, order)
@@ -113,45 +168,95 @@ def _ask(order: int, parts: int):
             counts = np.zeros(len(keys), dtype=np.int64)
             for number, valid in zip(numbers, grams.valid):
                 counts += np.bincount(number[valid & train], minlength=len(keys))
-            cuts = [0, *np.searchsorted(keys, limits).tolist(), len(keys)]
-            wanted = [k for k in range(parts) if cuts[k] < cuts[k + 1]]
-            spans = [slice(cuts[k], cuts[k + 1]) for k in wanted]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "part": pa.array(wanted, pa.int32()),
-                    "block": pa.array([block] * len(wanted), pa.int64()),
-                    "check": pa.array([check] * len(wanted), pa.string()),
-                    "keys": pa.array([pack(np.diff(keys[s], prepend=np.uint64(0))) for s in spans], pa.binary()),
-                    "counts": pa.array([pack(counts[s]) for s in spans], pa.binary()),
-                }
-            )
+            yield pa.RecordBatch.from_pydict(_request_rows(levels, 1, 0, block, check, keys, counts))
 
     return requests
 
 
-def _answer(requests: pa.Table) -> pa.Table:
-    """Totals of one part's n-grams for each block that asked, and the part's words and tokens."""
+def _joined(requests: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The distinct keys of some requests, their counts added up, and the places of each request's keys among them."""
     keys = [np.cumsum(unpack(blob, np.uint64), dtype=np.uint64) for blob in requests["keys"].to_pylist()]
-    counts = [unpack(blob, np.int64) for blob in requests["counts"].to_pylist()]
     every, inverse = np.unique(np.concatenate(keys), return_inverse=True)
     totals = np.zeros(len(every), dtype=np.int64)
-    np.add.at(totals, inverse, np.concatenate(counts))
-    cuts = np.cumsum([0, *map(len, keys)])
+    np.add.at(totals, inverse, np.concatenate([unpack(blob, np.int64) for blob in requests["counts"].to_pylist()]))
+    return every, totals, np.split(inverse, np.cumsum([len(own) for own in keys])[:-1])
+
+
+def _merge(levels: Levels, level: int):
+    """One group's requests for one range at a level, as one request for each range inside."""
+
+    def merged(group: tuple, requests: pa.Table) -> pa.Table:
+        part, asker = (value.as_py() for value in group)
+        every, totals, _ = _joined(requests)
+        return pa.table(_request_rows(levels, level + 1, part, asker, None, every, totals))
+
+    return merged
+
+
+def _answer(requests: pa.Table) -> pa.Table:
+    """Totals of one part's n-grams for each who asked, and the part's words and tokens."""
+    every, totals, places = _joined(requests)
     words = totals[(every & np.uint64(1)).astype(bool)]
-    blobs = [pack(totals[inverse[a:b]]) for a, b in zip(cuts[:-1], cuts[1:])]
-    n = len(blobs)
+    n = len(places)
     return pa.table(
         {
-            "block": pa.array([*requests["block"].to_pylist(), STATISTICS], pa.int64()),
+            "asker": pa.array([*requests["asker"].to_pylist(), STATISTICS], pa.int64()),
             "part": pa.array([requests["part"][0].as_py()] * (n + 1), pa.int32()),
             "check": pa.array([*requests["check"].to_pylist(), None], pa.string()),
-            "totals": pa.array([*blobs, None], pa.binary()),
+            "totals": pa.array([*(pack(totals[own]) for own in places), None], pa.binary()),
             "tokens": pa.array([0] * n + [int(words.sum())], pa.int64()),
             "words": pa.array([0] * n + [int((words > 0).sum())], pa.int64()),
         }
     )
 
 
+def _hand_back(requests: pa.Table, answers: pa.Table) -> pa.Table:
+    """The answers to a merged request, for each request in it."""
+    _, _, places = _joined(requests)
+    inside = sorted(zip(answers["part"].to_pylist(), answers["totals"].to_pylist()))
+    totals = np.concatenate([unpack(blob, np.int64) for _, blob in inside])
+    return pa.table(
+        {
+            "asker": requests["asker"].cast(pa.int64()),
+            "part": requests["part"].cast(pa.int32()),
+            "check": requests["check"].cast(pa.string()),
+            "totals": pa.array([pack(totals[own]) for own in places], pa.binary()),
+            "tokens": pa.array([0] * len(places), pa.int64()),
+            "words": pa.array([0] * len(places), pa.int64()),
+        }
+    )
+
+
+def _group_of(levels: Levels, level: int) -> Column:
+    """The group of one who asks: of a block by its hash, of a group by its number."""
+    if level == 1:
+        return F.pmod(F.xxhash64("asker"), F.lit(levels.groups(1)))
+    return F.floor(F.col("asker") / levels.fan).cast("long")
+
+
+def totals_of(requests: DataFrame, levels: Levels) -> tuple[DataFrame, int, int]:
+    """The answers to all requests of blocks, stored, and the numbers of tokens and of words in training."""
+    asked = []
+    for level in range(1, levels.depth):
+        requests = stored(requests.withColumn("group", _group_of(levels, level)), f"lm-requests-{level}")
+        asked.append(requests)
+        tasks = min(TASKS, levels.parts(level) * levels.groups(level))
+        requests = requests.repartition(tasks, "part", "group").groupBy("part", "group").applyInArrow(_merge(levels, level), REQUESTS)
+    tasks = min(TASKS, levels.parts(levels.depth))
+    answers = stored(requests.repartition(tasks, "part").groupBy("part").applyInArrow(_answer, ANSWERS), "lm-totals")
+    tokens, words = answers.where(F.col("asker") == STATISTICS).agg(F.sum("tokens"), F.sum("words")).first()
+    answers = answers.where(F.col("asker") != STATISTICS)
+    for requests in reversed(asked):
+        outer = F.floor(F.col("part") / levels.fan).cast("int").alias("outer")
+        answers = stored(
+            requests.groupBy("part", "group")
+            .cogroup(answers.select("part", "totals", outer, "asker").groupBy("outer", "asker"))
+            .applyInArrow(_hand_back, ANSWERS),
+            "lm-totals",
+        )
+    return answers, tokens or 0, words or 0
+
+
 def _wrap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each block as one compressed row, to travel to its answers."""
     for block, rows, check in _numbered_blocks(batches):
@@ -240,22 +345,14 @@ def score_texts(
         docs[key].alias("key"), docs[text].cast("string").alias("text"), F.coalesce(train, F.lit(False)).alias("train")
     )
     size = chosen.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-size // PART_BYTES))
-    requests = chosen.mapInArrow(_ask(order, parts), "part int, block long, check string, keys binary, counts binary")
-    answers = stored(
-        requests.repartition(parts, "part")
-        .groupBy("part")
-        .applyInArrow(_answer, "block long, part int, check string, totals binary, tokens long, words long"),
-        "lm-totals",
-    )
-    tokens, words = answers.where(F.col("block") == STATISTICS).agg(F.sum("tokens"), F.sum("words")).first()
-    tokens, words = tokens or 0, words or 0
+    levels = Levels.of(max(1, -(-size // PART_BYTES)), FAN)
+    answers, tokens, words = totals_of(chosen.mapInArrow(_ask(order, levels), REQUESTS), levels)
     kind = docs.schema[key].dataType
     wrapped = chosen.mapInArrow(_wrap, "block long, check string, rows binary")
     out = f"key {kind.simpleString()}, train boolean, n_tokens long, n_known long, base_score double, score double"
     scored = (
         wrapped.groupBy("block")
-        .cogroup(answers.where(F.col("block") != STATISTICS).select("block", "part", "check", "totals").groupBy("block"))
+        .cogroup(answers.select("asker", "part", "check", "totals").groupBy("asker"))
         .applyInArrow(_score(order, mu, tokens, words, to_arrow_type(kind)), out)
     )
     return scored.withColumn("train_tokens", F.lit(tokens).cast("long")).withColumnRenamed("key", key)
