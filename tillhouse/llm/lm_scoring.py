@@ -39,7 +39,7 @@ ORDER = 3
 MU = 4.0
 BLOCK_BYTES = 5 << 20  # text of a block: its n-grams are held by one task
 PART_BYTES = 7 << 20  # text for each of the parts in which counts are added up
-FAN = 512  # ranges that one request is divided into, at most
+FAN = 8192  # ranges that one request is divided into, at most: two levels from 57 GB of text, and up to 470 TB
 TASKS = 16_384  # of an exchange, at most; a task may hold several parts, one after the other
 END, BEGIN = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 STATISTICS = -1  # who asked, in rows with totals of a part
