@@ -14,9 +14,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from tillhouse.functions.materialize import stored
 from tillhouse.llm.blocks import mix, powers, rows_in_blocks
 
 SIZES = (3, 4, 5)  # characters of an n-gram, of which the first or last may be a word's border
@@ -25,6 +26,7 @@ DIMENSIONS = 10
 EPOCHS = 8
 RATE = 0.5
 SAMPLE = 4000  # labelled rows to learn from, at most
+SAMPLE_BYTES = 256 << 20  # of their features, at most
 SLICE = 1 << 18  # characters whose features are held at a time
 BLOCK_BYTES = 8 << 20
 
@@ -150,23 +152,26 @@ class Model:
 
 def fit(texts: list[str], labels: list[int], seed: int = 1) -> Model:
     """Learn from texts and labels 0 or 1; with no text, all scores are one half."""
+    return fit_features([(*own, label) for own, label in zip(_sparse(texts), labels)], seed)
+
+
+def fit_features(samples: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 1) -> Model:
+    """Learn from the buckets, shares and label of each text."""
     random = np.random.default_rng(seed)
     vectors = random.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (1 << BITS, DIMENSIONS)).astype(np.float32)
     layer = np.zeros((2, DIMENSIONS), dtype=np.float32)
     bias = np.zeros(2, dtype=np.float32)
-    samples = _sparse(texts)
-    steps = max(1, EPOCHS * len(texts))
-    for step in range(EPOCHS * len(texts)):
-        if step % len(texts) == 0:
-            order = random.permutation(len(texts))
-        k = order[step % len(texts)]
-        buckets, shares = samples[k]
+    steps = max(1, EPOCHS * len(samples))
+    for step in range(EPOCHS * len(samples)):
+        if step % len(samples) == 0:
+            order = random.permutation(len(samples))
+        buckets, shares, label = samples[order[step % len(samples)]]
         rate = RATE * (1 - step / steps)
         mean = shares @ vectors[buckets]
         logits = layer @ mean + bias
         error = np.exp(logits - logits.max())
         error /= error.sum()
-        error[labels[k]] -= 1
+        error[label] -= 1
         back = error @ layer
         layer -= rate * np.outer(error, mean)
         bias -= rate * 0.1 * error
@@ -174,14 +179,33 @@ def fit(texts: list[str], labels: list[int], seed: int = 1) -> Model:
     return Model((vectors @ (layer[1] - layer[0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
-def learn(
-    docs: DataFrame, labels: DataFrame, usable: Column, label: str, key: str = "doc_id", text: str = "text", sample: int = SAMPLE
-) -> Model:
-    """Fit on at most ``sample`` labelled rows of ``labels`` for which ``usable`` holds.
-
-    Those with the smallest hashes of their keys are taken; labels other than 0 and 1 are not.  Where a key has several
-    labels or texts, the smallest counts.
-    """
+def _sample_rows(key_type: pa.DataType):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in rows_in_blocks(batches, "text", BLOCK_BYTES):
+            own = _sparse([value or "" for value in rows["text"].to_pylist()])
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "key": rows["key"].combine_chunks().cast(key_type),
+                    "label": rows["label"].combine_chunks().cast(pa.int32()),
+                    "buckets": pa.array([buckets.astype("<i4").tobytes() for buckets, _ in own], pa.binary()),
+                    "shares": pa.array([shares.astype("<f4").tobytes() for _, shares in own], pa.binary()),
+                }
+            )
+
+    return run
+
+
+def sample_features(
+    docs: DataFrame,
+    labels: DataFrame,
+    usable: Column,
+    label: str,
+    key: str = "doc_id",
+    text: str = "text",
+    sample: int = SAMPLE,
+    limit: int = SAMPLE_BYTES,
+) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """Buckets, shares and label of each text of the sample, made from whole texts in tasks."""
     chosen = (
         labels.where(usable & labels[label].isin(0, 1) & labels[key].isNotNull())
         .groupBy(labels[key].alias("key"))
@@ -190,14 +214,38 @@ def learn(
         .limit(sample)
     )
     texts = docs.select(docs[key].alias("key"), F.coalesce(docs[text], F.lit("")).alias("text"))
-    found = (
+    kind = docs.schema[key].dataType
+    found = stored(
         texts.join(F.broadcast(chosen), "key")  # at most ``sample`` rows
         .groupBy("key")
         .agg(F.min("label").alias("label"), F.min("text").alias("text"))
-        .orderBy("key")
-        .collect()  # at most ``sample`` rows
+        .mapInArrow(_sample_rows(to_arrow_type(kind)), f"key {kind.simpleString()}, label int, buckets binary, shares binary"),
+        "classifier-sample",
     )
-    return fit([row["text"] for row in found], [row["label"] for row in found])
+    size = F.octet_length("buckets") + F.octet_length("shares")
+    so_far = F.sum(size.cast("long")).over(Window.orderBy(F.xxhash64("key"), "key"))  # over sizes of at most ``sample`` rows
+    kept = found.select("key", so_far.alias("so_far")).where(F.col("so_far") <= limit).select("key")
+    rows = found.join(F.broadcast(kept), "key", "left_semi").orderBy("key").collect()  # at most ``limit`` bytes
+    return [(np.frombuffer(r["buckets"], "<i4").astype(np.int64), np.frombuffer(r["shares"], "<f4"), r["label"]) for r in rows]
+
+
+def learn(
+    docs: DataFrame,
+    labels: DataFrame,
+    usable: Column,
+    label: str,
+    key: str = "doc_id",
+    text: str = "text",
+    sample: int = SAMPLE,
+    limit: int = SAMPLE_BYTES,
+) -> Model:
+    """Fit on at most ``sample`` labelled rows of ``labels`` for which ``usable`` holds, and ``limit`` bytes of features.
+
+    Those with the smallest hashes of their keys are taken, until either bound; a text takes eight bytes for each distinct
+    feature of it, two million at most.  Labels other than 0 and 1 are not taken.  Where a key has several labels or
+    texts, the smallest counts.
+    """
+    return fit_features(sample_features(docs, labels, usable, label, key, text, sample, limit))
 
 
 def score_quality(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
