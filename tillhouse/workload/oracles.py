@@ -438,6 +438,28 @@ EVENT_SESSIONS = f"""
     GROUP BY user_id, number
 """
 
+SOLD = f"""
+    SELECT city, category, month, quantity, item_total
+    FROM ({ORDER_ITEMS}) i
+    LEFT JOIN (SELECT order_id, strftime(order_date, '%Y-%m') AS month FROM ({GAPPY_ORDERS})) o ON i.order_id = o.order_id
+    LEFT JOIN (SELECT user_id, city FROM ({USERS})) u ON i.user_id = u.user_id
+    LEFT JOIN (SELECT product_id, category FROM ({PRODUCTS})) p ON i.product_id = p.product_id
+"""
+
+
+def sold_by(sets: str) -> str:
+    return f"""
+        SELECT city, category, month, CAST(grouping_id(city, category, month) AS BIGINT) AS grouping_id,
+               count(*) AS lines, {total('quantity')} AS sold, {money(rounded_total('item_total'))} AS revenue,
+               {money(half_up(units('item_total'), '(count(item_total) * 10000)'))} AS mean_revenue,
+               min(item_total) AS least, max(item_total) AS most
+        FROM ({SOLD}) GROUP BY {sets}
+    """
+
+
+LINES = "SELECT l_quantity AS quantity, nullif(l_linestatus, 'F') AS status FROM lineitem"
+RETURNS = "SELECT l_quantity + 5 AS quantity, nullif(l_linestatus, 'F') AS status FROM lineitem WHERE l_returnflag = 'R'"
+
 ORACLES: dict[str, str] = {
     "contract_projection": f"SELECT order_id, total_amount, user_id FROM ({as_text('orders')})",
     "typed_cast": "SELECT order_id, user_id, order_date, order_status, total_amount FROM (" + ORDERS + ")",
@@ -595,5 +617,39 @@ ORACLES: dict[str, str] = {
         SELECT * FROM ({EVENT_SESSIONS})
         WHERE session_end <= (SELECT max(event_timestamp) - INTERVAL 20 DAY FROM ({EVENTS}))
     """,
+    "sales_cube": sold_by("CUBE (city, category, month)"),
+    "sales_grouping_sets": sold_by("GROUPING SETS ((city, month), (category), (month), ())"),
+    "sales_rollup": f"""
+        SELECT order_status, user_id, CAST(grouping_id(order_status, user_id) AS BIGINT) AS grouping_id,
+               count(*) AS order_rows, count(total_amount) AS amounts, {money(rounded_total('total_amount'))} AS revenue
+        FROM ({GAPPY_ORDERS}) GROUP BY ROLLUP (order_status, user_id)
+    """,
+    "lines_except_all": f"({LINES}) EXCEPT ALL ({RETURNS})",
+    "lines_intersect_all": f"({LINES}) INTERSECT ALL ({RETURNS})",
+    "lines_differences": f"""
+        SELECT quantity, status, CASE WHEN sum(side) > 0 THEN 'added' ELSE 'removed' END AS change,
+               CAST(abs(sum(side)) AS BIGINT) AS copies
+        FROM (SELECT *, -1 AS side FROM ({LINES}) UNION ALL SELECT *, 1 FROM ({RETURNS}))
+        GROUP BY quantity, status HAVING sum(side) <> 0
+    """,
+    "orders_change_feed": f"""
+        SELECT coalesce(b.order_id, a.order_id) AS order_id,
+               CASE WHEN b.order_id IS NULL THEN 'insert' WHEN a.order_id IS NULL THEN 'delete' ELSE 'update' END AS change,
+               b.order_status AS old_order_status, b.total_amount AS old_total_amount,
+               a.order_status AS new_order_status, a.total_amount AS new_total_amount
+        FROM (SELECT * FROM ({ORDERS}) WHERE order_date < TIMESTAMP '2000-01-01') b
+        FULL JOIN (SELECT * REPLACE (nullif(order_status, 'P') AS order_status) FROM ({ORDERS}) WHERE total_amount >= 20000) a
+            ON a.order_id = b.order_id
+        WHERE b.order_id IS NULL OR a.order_id IS NULL OR a.order_status IS DISTINCT FROM b.order_status
+            OR a.total_amount IS DISTINCT FROM b.total_amount
+    """,
+    "orders_stratified_sample": f"""
+        SELECT * FROM ({GAPPY_ORDERS})
+        QUALIFY row_number() OVER (
+            PARTITION BY order_status
+            ORDER BY md5(concat_ws('|', '7', coalesce('=' || CAST(order_id AS VARCHAR), '-'))), order_id NULLS FIRST,
+                     user_id NULLS FIRST, order_date NULLS FIRST, total_amount NULLS FIRST
+        ) <= 50
+    """,
     "full_run": kpis(COMPLETE_ORDERS, kept_items()),
 }

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tillhouse.functions.concurrency import run_together
 from tillhouse.functions.materialize import scratch_path
 from tillhouse.functions.money import to_units
-from tillhouse.operators import contracts, dedup, kpis, loyalty, nulls, rules, sales
+from tillhouse.operators import contracts, cubes, dedup, kpis, loyalty, multisets, nulls, rules, sales, sampling
 from tillhouse.operators import orders as order_values
 from tillhouse.operators import products as rankings
 from tillhouse.operators import timejoin
@@ -738,3 +738,97 @@ def event_sessions_streamed(spark, folder):
     found = windows.session_totals(_event_stream(spark, folder), "event_timestamp", ["user_id"], totals, "8 hours", "20 days")
     windows.append_files(found, out, scratch_path(spark, "sessions-checkpoint"))
     return spark.read.schema(found.schema).parquet(out)
+
+
+# Grouping sets
+
+
+def _sold(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines with their city, category and month; the month is unknown for some orders."""
+    items = src.order_items(spark, folder).select("order_id", "product_id", "user_id", "quantity", "item_total")
+    month = F.date_format("order_date", "yyyy-MM").alias("month")
+    months = src.gappy_orders(spark, folder).where("order_id is not null").select("order_id", month)
+    cities = src.users(spark, folder).select("user_id", "city")
+    categories = src.products(spark, folder).select("product_id", "category")
+    return items.join(months, "order_id", "left").join(cities, "user_id", "left").join(categories, "product_id", "left")
+
+
+def _sold_measures() -> dict[str, cubes.Measure]:
+    amount = F.col("item_total")
+    return {
+        "lines": cubes.row_count(),
+        "sold": cubes.total(F.col("quantity")),
+        "revenue": cubes.money_total(amount),
+        "mean_revenue": cubes.money_mean(amount),
+        "least": cubes.smallest(amount),
+        "most": cubes.largest(amount),
+    }
+
+
+@query
+def sales_cube(spark, folder):
+    """By city, category and month, and all coarser sets."""
+    return cubes.cube(_sold(spark, folder), ["city", "category", "month"], _sold_measures())
+
+
+@query
+def sales_rollup(spark, folder):
+    """Statuses and users of orders, both with nulls of their own."""
+    measures = {"order_rows": cubes.row_count(), "amounts": cubes.value_count(F.col("total_amount"))}
+    measures["revenue"] = cubes.money_total(F.col("total_amount"))
+    return cubes.rollup(src.gappy_orders(spark, folder), ["order_status", "user_id"], measures)
+
+
+@query
+def sales_grouping_sets(spark, folder):
+    """Sets without a common finest one among them."""
+    sets = [("city", "month"), ("category",), ("month",), ()]
+    return cubes.grouping_sets(_sold(spark, folder), ["city", "category", "month"], sets, _sold_measures())
+
+
+# Snapshots as multisets
+
+
+def _lines_and_returns(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Quantity and status (unknown where fulfilled) of all order lines; and of returned ones, with larger quantities."""
+    lines = src.sample(spark, folder, "lineitem")
+    status = F.when(F.col("l_linestatus") != "F", F.col("l_linestatus")).alias("status")
+    every = lines.select(F.col("l_quantity").alias("quantity"), status)
+    returned = lines.where("l_returnflag = 'R'").select(status, (F.col("l_quantity") + 5).alias("quantity"))
+    return every, returned
+
+
+@query
+def lines_except_all(spark, folder):
+    """Multiset difference; rows have many copies and nulls."""
+    return multisets.except_all(*_lines_and_returns(spark, folder))
+
+
+@query
+def lines_intersect_all(spark, folder):
+    return multisets.intersect_all(*_lines_and_returns(spark, folder))
+
+
+@query
+def lines_differences(spark, folder):
+    """Numbers of copies that were added or removed."""
+    return multisets.differences(*_lines_and_returns(spark, folder))
+
+
+@query
+def orders_change_feed(spark, folder):
+    """From the orders before 2000 to those above 20,000, of which some lost their status."""
+    before = src.orders(spark, folder).where(F.col("order_date") < F.lit("2000-01-01").cast("timestamp"))
+    after = src.orders(spark, folder).where("total_amount >= 20000")
+    after = after.withColumn("order_status", F.expr("nullif(order_status, 'P')"))
+    columns = ["order_id", "order_status", "total_amount"]
+    return multisets.change_feed(before.select(*columns), after.select(*columns), ["order_id"])
+
+
+# Samples
+
+
+@query
+def orders_stratified_sample(spark, folder):
+    """Fifty orders of each status and each unknown one, by the digests of their ids."""
+    return sampling.stratified_sample(src.gappy_orders(spark, folder), ["order_status"], ["order_id"], 50, seed=7)
