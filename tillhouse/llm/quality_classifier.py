@@ -26,7 +26,7 @@ DIMENSIONS = 10
 EPOCHS = 8
 RATE = 0.5
 SAMPLE = 4000  # labelled rows to learn from, at most
-SAMPLE_BYTES = 256 << 20  # of their features, at most
+SAMPLE_BYTES = 96 << 20  # of their features, at most
 SLICE = 1 << 18  # characters whose features are held at a time
 BLOCK_BYTES = 8 << 20
 
@@ -226,7 +226,7 @@ def sample_features(
     so_far = F.sum(size.cast("long")).over(Window.orderBy(F.xxhash64("key"), "key"))  # over sizes of at most ``sample`` rows
     kept = found.select("key", so_far.alias("so_far")).where(F.col("so_far") <= limit).select("key")
     rows = found.join(F.broadcast(kept), "key", "left_semi").orderBy("key").collect()  # at most ``limit`` bytes
-    return [(np.frombuffer(r["buckets"], "<i4").astype(np.int64), np.frombuffer(r["shares"], "<f4"), r["label"]) for r in rows]
+    return [(np.frombuffer(r["buckets"], "<i4"), np.frombuffer(r["shares"], "<f4"), r["label"]) for r in rows]
 
 
 def learn(
