@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from tillhouse.operators import orders as order_values
 from tillhouse.plans import policies
-from tillhouse.workload.queries import AS_OF, BATCH, BUCKETS, ENUMS, HIGH_ABOVE, MEDIUM_ABOVE, PAST_LIMIT
+from tillhouse.workload.queries import AS_OF, BATCH, BUCKETS, ENUMS, HIGH_ABOVE, MEDIUM_ABOVE, PAST_LIMIT, SHARES
 from tillhouse.workload.tables import (
     EVENTS,
     FINE_ORDER_ITEMS,
@@ -460,6 +460,12 @@ def sold_by(sets: str) -> str:
 LINES = "SELECT l_quantity AS quantity, nullif(l_linestatus, 'F') AS status FROM lineitem"
 RETURNS = "SELECT l_quantity + 5 AS quantity, nullif(l_linestatus, 'F') AS status FROM lineitem WHERE l_returnflag = 'R'"
 
+MERGED_LINES = f"""
+    SELECT order_item_id, quantity,
+           CASE WHEN quantity > 45 THEN NULL WHEN quantity > 30 THEN 1 ELSE order_id END AS order_id
+    FROM ({ORDER_ITEMS})
+"""
+
 ORACLES: dict[str, str] = {
     "contract_projection": f"SELECT order_id, total_amount, user_id FROM ({as_text('orders')})",
     "typed_cast": "SELECT order_id, user_id, order_date, order_status, total_amount FROM (" + ORDERS + ")",
@@ -651,5 +657,26 @@ ORACLES: dict[str, str] = {
                      user_id NULLS FIRST, order_date NULLS FIRST, total_amount NULLS FIRST
         ) <= 50
     """,
+    "sketched_users": f"""
+        SELECT CAST(year(order_date) AS INTEGER) AS year, order_status, count(DISTINCT user_id) AS users, true AS within
+        FROM ({ORDERS}) GROUP BY ALL
+    """,
+    "sketched_returning_users": f"""
+        WITH years AS (SELECT DISTINCT CAST(year(order_date) AS INTEGER) AS year, order_status, user_id FROM ({ORDERS}))
+        SELECT a.year, a.order_status, count(*) AS returning_users, true AS within
+        FROM years a JOIN years b ON b.year = a.year + 1 AND b.order_status = a.order_status AND b.user_id = a.user_id
+        GROUP BY ALL
+    """,
+    "sketched_quantiles": f"""
+        SELECT CAST(year(order_date) AS INTEGER) AS year, CAST(share AS DOUBLE) AS share, count(total_amount) AS amounts,
+               true AS within
+        FROM ({ORDERS}), (SELECT unnest({list(SHARES)}) AS share) GROUP BY ALL
+    """,
+    "bucketed_join": f"""
+        SELECT l.*, o.order_status, o.total_amount FROM ({MERGED_LINES}) l LEFT JOIN ({ORDERS}) o USING (order_id)
+    """,
+    "bucketed_totals": f"""
+        SELECT order_id, count(*) AS lines, {total('quantity')} AS sold FROM ({MERGED_LINES}) GROUP BY order_id
+    """,
     "full_run": kpis(COMPLETE_ORDERS, kept_items()),
 }

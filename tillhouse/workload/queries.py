@@ -11,13 +11,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tillhouse.functions.concurrency import run_together
 from tillhouse.functions.materialize import scratch_path
 from tillhouse.functions.money import to_units
-from tillhouse.operators import contracts, cubes, dedup, kpis, loyalty, multisets, nulls, rules, sales, sampling
+from tillhouse.operators import contracts, cubes, dedup, kpis, loyalty, multisets, nulls, rules, sales, sampling, sketches
 from tillhouse.operators import orders as order_values
 from tillhouse.operators import products as rankings
 from tillhouse.operators import timejoin
 from tillhouse.operators import users as per_user
 from tillhouse.operators.provenance import stamp_batch
 from tillhouse.plans import jobs, policies
+from tillhouse.sources import buckets
 from tillhouse.sources import tables as io
 from tillhouse.sources.versions import VersionedTable
 from tillhouse.streaming import windows
@@ -832,3 +833,93 @@ def orders_change_feed(spark, folder):
 def orders_stratified_sample(spark, folder):
     """Fifty orders of each status and each unknown one, by the digests of their ids."""
     return sampling.stratified_sample(src.gappy_orders(spark, folder), ["order_status"], ["order_id"], 50, seed=7)
+
+
+# Stored sketches
+
+SKETCH_SIZE = 9  # small, so that the samples' counts are estimated
+SHARES = (0.1, 0.5, 0.99)
+
+
+def _year(date: str) -> Column:
+    return F.year(date).alias("year")
+
+
+def _sketched_days(spark: SparkSession, folder: str, sketch: sketches.Sketch) -> sketches.SketchTable:
+    """Sketches of days and statuses of orders in two batches, so that days have late rows; the first is added twice."""
+    table = sketches.SketchTable(spark, scratch_path(spark, "sketches"), ["order_date", "order_status"], {"sketch": sketch})
+    rows, late = src.orders(spark, folder), F.col("order_id") % 2 == 1
+    for batch, chosen in (("first", ~late), ("second", late), ("first", ~late)):
+        table.add(rows.where(chosen), batch)
+    return table
+
+
+@query
+def sketched_users(spark, folder):
+    """Users by year and status from sketches of days: their exact number, and whether the estimate keeps its bound."""
+    sketch = sketches.distinct(F.col("user_id"), SKETCH_SIZE)
+    found = _sketched_days(spark, folder, sketch).roll_up([_year("order_date"), "order_status"])
+    exact = src.orders(spark, folder).groupBy(_year("order_date"), "order_status").agg(F.countDistinct("user_id").alias("users"))
+    within = F.abs(sketches.distinct_estimate(F.col("sketch")) - F.col("users")) <= sketch.bound * F.col("users")
+    return exact.join(found, ["year", "order_status"]).select("year", "order_status", "users", within.alias("within"))
+
+
+@query
+def sketched_returning_users(spark, folder):
+    """Users with an order of a status in one year and in the next, from sketches of days, with the same check."""
+    sketch = sketches.distinct_set(F.col("user_id"), SKETCH_SIZE)
+    found = _sketched_days(spark, folder, sketch).roll_up([_year("order_date"), "order_status"])
+    later = found.select((F.col("year") - 1).alias("year"), "order_status", F.col("sketch").alias("later"))
+    both = sketches.overlap_estimate(F.col("sketch"), F.col("later")).alias("both")
+    together = sketches.set_estimate(F.theta_union("sketch", "later", SKETCH_SIZE)).alias("together")
+    estimated = found.join(later, ["year", "order_status"]).select("year", "order_status", both, together)
+
+    years = src.orders(spark, folder).select(_year("order_date"), "order_status", "user_id").distinct()
+    next_years = years.select((F.col("year") - 1).alias("year"), "order_status", "user_id")
+    exact = years.join(next_years, ["year", "order_status", "user_id"]).groupBy("year", "order_status")
+    within = F.abs(F.col("both") - F.col("returning_users")) <= sketch.bound * F.col("together")
+    counted = exact.agg(F.count(F.lit(1)).alias("returning_users")).join(estimated, ["year", "order_status"])
+    return counted.select("year", "order_status", "returning_users", within.alias("within"))
+
+
+@query
+def sketched_quantiles(spark, folder):
+    """Amounts at three ranks by year from sketches of days: whether each has its rank, as far as the bound says."""
+    sketch = sketches.quantiles(F.col("total_amount"))
+    found = _sketched_days(spark, folder, sketch).roll_up([_year("order_date")])
+    points = [
+        F.struct(F.lit(share).alias("share"), sketches.quantile_estimate(F.col("sketch"), share).alias("point"))
+        for share in SHARES
+    ]
+    found = found.select("year", F.inline(F.array(*points)))
+    values = src.orders(spark, folder).select(_year("order_date"), "total_amount").join(F.broadcast(found), "year")
+    value, point, n = F.col("total_amount"), F.col("point"), F.count("total_amount")
+    below, up_to = F.count_if(value < point) / n, F.count_if(value <= point) / n
+    within = (below <= F.col("share") + sketch.bound) & (up_to >= F.col("share") - sketch.bound)
+    return values.groupBy("year", "share").agg(n.alias("amounts"), within.alias("within"))
+
+
+# Bucketed tables
+
+
+def _bucketed(spark: SparkSession, folder: str) -> tuple[buckets.BucketedTable, buckets.BucketedTable]:
+    """Order lines and orders in sixteen buckets; large lines belong to order 1, and the largest to an unknown one."""
+    order = F.when(F.col("quantity") > 45, F.lit(None)).when(F.col("quantity") > 30, F.lit(1)).otherwise(F.col("order_id"))
+    lines = src.order_items(spark, folder).select("order_item_id", order.cast("bigint").alias("order_id"), "quantity")
+    orders = src.orders(spark, folder).select("order_id", "order_status", "total_amount")
+    stored_lines = buckets.write_bucketed(lines, scratch_path(spark, "lines"), ["order_id"], buckets=16)
+    return stored_lines, buckets.write_bucketed(orders, scratch_path(spark, "orders"), like=stored_lines)
+
+
+@query
+def bucketed_join(spark, folder):
+    """Order lines, a third of them of one order, with status and amount of their orders."""
+    return buckets.join_bucketed(*_bucketed(spark, folder), "left")
+
+
+@query
+def bucketed_totals(spark, folder):
+    """Lines and quantity by order; the parts of hot orders are merged at the end."""
+    measures = {"lines": F.count(F.lit(1)), "sold": F.sum("quantity")}
+    parts = buckets.totals_bucketed(_bucketed(spark, folder)[0], measures)
+    return parts.groupBy("order_id").agg(F.sum("lines").alias("lines"), F.sum("sold").alias("sold"))
