@@ -21,14 +21,12 @@ from pyspark.sql.types import StructType
 
 from tillhouse.functions.keys import MAX_BROADCAST_KEYS, KeySet
 from tillhouse.functions.materialize import stored
+from tillhouse.sources import manifests
+from tillhouse.sources.manifests import ConflictError
 
 BUCKETS = 64
 BUCKET = "_bucket"
-_MANIFESTS, _DATA = "_manifests", "data"
-
-
-class ConflictError(RuntimeError):
-    """Another writer has committed since the version that a merge was based on."""
+_DATA = "data"
 
 
 @dataclass(frozen=True)
@@ -71,15 +69,11 @@ class VersionedTable:
         return self._commit(empty, df.dropDuplicates(list(keys)))
 
     def versions(self) -> list[int]:
-        fs, folder = self._files(f"{self.path}/{_MANIFESTS}")
-        if not fs.exists(folder):
-            return []
-        names = [status.getPath().getName() for status in fs.listStatus(folder)]
-        return sorted(int(name.removesuffix(".json")) for name in names if name.endswith(".json"))
+        return manifests.numbers(self.spark, self.path)
 
     def version(self, number: int | None = None) -> Version:
         number = self.versions()[-1] if number is None else number
-        return Version.from_json(self.spark.read.text(self._manifest(number), wholetext=True).first()[0])
+        return Version.from_json(manifests.read_manifest(self.spark, self.path, number))
 
     def read(self, number: int | None = None) -> DataFrame:
         """The rows of a version, the latest by default."""
@@ -151,10 +145,10 @@ class VersionedTable:
         kept = {folder for n in self.versions() if n >= number for folder in self.version(n).folders.values()}
         for n in [n for n in self.versions() if n < number]:
             old = self.version(n)
-            fs, path = self._files(self._manifest(n))
+            fs, path = manifests.files(self.spark, manifests.manifest_path(self.path, n))
             fs.delete(path, False)
             for folder in set(old.folders.values()) - kept:
-                fs, path = self._files(f"{self.path}/{folder}")
+                fs, path = manifests.files(self.spark, f"{self.path}/{folder}")
                 fs.delete(path, True)
 
     def _bucket(self, keys: Sequence[str], buckets: int) -> Column:
@@ -171,35 +165,10 @@ class VersionedTable:
         folder = f"{_DATA}/{uuid.uuid4()}"
         placed = rows.withColumn(BUCKET, self._bucket(last.keys, last.buckets)).repartition(BUCKET)
         placed.write.option("compression", "zstd").partitionBy(BUCKET).parquet(f"{self.path}/{folder}")
-        fs, data = self._files(f"{self.path}/{folder}")
+        fs, data = manifests.files(self.spark, f"{self.path}/{folder}")
         written = [status.getPath().getName() for status in fs.listStatus(data)]
         new = {int(name.partition("=")[2]): f"{folder}/{name}" for name in written if name.startswith(f"{BUCKET}=")}
         old = {} if touched is None else {b: f for b, f in last.folders.items() if b not in set(touched)}
         version = Version(last.number + 1, last.schema, last.keys, last.buckets, {**old, **new})
-        self._publish(version)
+        manifests.publish_manifest(self.spark, self.path, version.number, version.to_json())
         return version
-
-    def _publish(self, version: Version) -> None:
-        """Write the manifest aside and give it its name, which fails if another writer has taken it."""
-        jvm = self.spark._jvm
-        fs, draft = self._files(f"{self.path}/{_MANIFESTS}/draft-{uuid.uuid4()}")
-        out = fs.create(draft, False)
-        out.write(bytearray(version.to_json().encode()))
-        out.close()
-        _, target = self._files(self._manifest(version.number))
-        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self.spark._jsc.hadoopConfiguration())
-        no_overwrite = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
-        try:
-            files.rename(fs.makeQualified(draft), fs.makeQualified(target), no_overwrite)
-        except Exception as error:
-            fs.delete(draft, False)
-            if fs.exists(target):
-                raise ConflictError(f"another writer has committed version {version.number} of {self.path}") from error
-            raise
-
-    def _manifest(self, number: int) -> str:
-        return f"{self.path}/{_MANIFESTS}/{number:012d}.json"
-
-    def _files(self, path: str):
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()), target

@@ -678,5 +678,15 @@ ORACLES: dict[str, str] = {
     "bucketed_totals": f"""
         SELECT order_id, count(*) AS lines, {total('quantity')} AS sold FROM ({MERGED_LINES}) GROUP BY order_id
     """,
+    "table_releases": f"""
+        WITH large AS (SELECT order_id FROM ({ORDERS}) WHERE total_amount >= 150000)
+        SELECT CAST(release AS INTEGER) AS release, name, n FROM (
+            SELECT 1 AS release, 'orders' AS name, count(*) AS n FROM ({ORDERS})
+            UNION ALL SELECT 1, 'order_items', count(*) FROM ({ORDER_ITEMS})
+            UNION ALL SELECT 2, 'orders', count(*) FROM large
+            UNION ALL SELECT 2, 'order_items', count(*) FROM ({ORDER_ITEMS}) SEMI JOIN large USING (order_id)
+            UNION ALL SELECT unnest([1, 2]), 'users', n FROM (SELECT count(*) AS n FROM ({USERS}))
+        )
+    """,
     "full_run": kpis(COMPLETE_ORDERS, kept_items()),
 }

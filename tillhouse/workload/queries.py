@@ -20,6 +20,7 @@ from tillhouse.operators.provenance import stamp_batch
 from tillhouse.plans import jobs, policies
 from tillhouse.sources import buckets
 from tillhouse.sources import tables as io
+from tillhouse.sources.releases import Releases
 from tillhouse.sources.versions import VersionedTable
 from tillhouse.streaming import windows
 from tillhouse.workload import tables as src
@@ -923,3 +924,24 @@ def bucketed_totals(spark, folder):
     measures = {"lines": F.count(F.lit(1)), "sold": F.sum("quantity")}
     parts = buckets.totals_bucketed(_bucketed(spark, folder)[0], measures)
     return parts.groupBy("order_id").agg(F.sum("lines").alias("lines"), F.sum("sold").alias("sold"))
+
+
+# Table sets that change together
+
+
+@query
+def table_releases(spark, folder):
+    """Rows and amounts of two tables in each of two releases, the second with new orders and without the lines of others."""
+    releases = Releases(spark, scratch_path(spark, "releases"))
+    orders = src.orders(spark, folder)
+    lines, users = src.order_items(spark, folder), src.users(spark, folder)
+    releases.publish({"orders": orders, "order_items": lines, "users": users})
+    large = releases.read(["orders"])["orders"].where("total_amount >= 150000")
+    theirs = releases.read(["order_items"])["order_items"].join(large.select("order_id"), "order_id", "left_semi")
+    releases.publish({"orders": large, "order_items": theirs})
+    counted = [
+        df.agg(F.lit(number).alias("release"), F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"))
+        for number in releases.numbers()
+        for name, df in releases.read(number=number).items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
