@@ -95,8 +95,8 @@ def top_users_share(revenue: DataFrame, total_revenue: float | None = None) -> D
     """One row: the percentage of revenue that comes from the top tenth of users, 0 with fewer than ten users.
 
     ``total_revenue`` replaces the sum over all users as the whole.  Users are not ranked: approximate percentiles on
-    both sides of the boundary, further apart than their error, tell the amounts that are surely in.  Only the distinct
-    amounts in between, at most a few ten-thousandths of the users, are put in order.
+    both sides of the boundary, further apart than their error, tell the amounts that are surely in or out, which are
+    summed up.  Only the distinct amounts in between, at most a few ten-thousandths of the users, are put in order.
     """
     amounts = materialize(revenue.select(to_units(F.col("revenue_per_user")).alias("_cents")))
     # An unknown amount counts as a user, and as less than any amount.
@@ -104,22 +104,19 @@ def top_users_share(revenue: DataFrame, total_revenue: float | None = None) -> D
     accuracy = F.lit(int(2 / BOUNDARY_WIDTH))
     low = amounts.agg(F.percentile_approx(place, 0.9 - BOUNDARY_WIDTH, accuracy)).scalar()
     high = amounts.agg(F.percentile_approx(place, 0.9 + BOUNDARY_WIDTH, accuracy)).scalar()
-    above = F.when(place > high, F.col("_cents"))
-    earlier = Window.orderBy(F.desc("_place")).rowsBetween(Window.unboundedPreceding, -1)
-    room = F.call_function("div", amounts.agg(F.count("*")).scalar(), F.lit(10)) - amounts.agg(F.count_if(place > high)).scalar()
-    boundary = (
-        amounts.where(place.between(low, high))
-        .groupBy("_cents", place.alias("_place"))
-        .agg(F.count("*").alias("_rows"))
-        .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-        .withColumn("_taken", F.least(F.col("_rows"), room - F.col("_before")))
-    )
-    rest = boundary.where(F.col("_taken") > 0).agg(F.sum(F.col("_taken") * F.col("_cents"))).scalar()
-    some = F.sum(above).isNotNull() | rest.isNotNull()
-    top = F.when(some, F.coalesce(F.sum(above), F.lit(0)) + F.coalesce(rest, F.lit(0)))
-    whole = F.sum("_cents") if total_revenue is None else to_units(F.lit(total_revenue))
-    return amounts.agg(
-        F.when(F.count("*") < MIN_USERS_FOR_SHARE, F.lit(0.0))
+    placed = amounts.select("_cents", place.alias("_place"), F.when(place > high, 1).when(place < low, -1).otherwise(0).alias("_side"))
+    side, rows, between = F.col("_side"), F.col("_rows"), F.col("_side") == 0
+    classes = placed.groupBy(
+        side, F.when(between, F.col("_cents")).alias("_cents"), F.when(between, F.col("_place")).alias("_place")
+    ).agg(F.count("*").alias("_rows"), F.sum("_cents").alias("_sum"))
+    earlier = Window.orderBy(F.desc("_side"), F.desc("_place")).rowsBetween(Window.unboundedPreceding, -1)
+    room = F.call_function("div", F.sum("_rows").over(Window.partitionBy()), F.lit(10))
+    left = classes.withColumn("_left", room - F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    taken = F.least(rows, F.col("_left"))
+    top = F.sum(F.when(side > 0, F.col("_sum")).when(between & (taken > 0), taken * F.col("_cents")))
+    whole = F.sum("_sum") if total_revenue is None else to_units(F.lit(total_revenue))
+    return left.agg(
+        F.when(F.coalesce(F.sum("_rows"), F.lit(0)) < MIN_USERS_FOR_SHARE, F.lit(0.0))
         .otherwise(percent(top, whole))
         .alias("share_top_users_in_total_revenue")
     )
