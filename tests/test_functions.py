@@ -8,7 +8,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tillhouse.functions import money
-from tillhouse.functions.keys import hot_keys
+from tillhouse.functions.keys import KeySet, hot_keys
 from tillhouse.functions.materialize import materialize, scratch_path
 from tillhouse.functions.ranking import global_row_numbers
 
@@ -119,3 +119,26 @@ def test_materialize_keeps_rows(spark):
     df = spark.range(100).withColumn("r", F.rand(3))
     kept = materialize(df)
     assert sorted(kept.collect()) == sorted(kept.collect()) == sorted(df.collect())
+
+
+def test_filter_of_keys(spark):
+    """All keys pass a filter, nulls and both zeros included; of others, few do."""
+    rows = [(f"k{n}", float(n)) for n in range(300)] + [(None, 1.0), ("zero", -0.0)]
+    known = KeySet.of(spark.createDataFrame(rows, "name string, n double"))
+    found = known.filter(16, max_keys=20)
+    probe = spark.createDataFrame([*rows[:-1], ("zero", 0.0)], known.keys.schema)
+    marked = found.mark(probe, ["name", "n"], "passed")
+    assert marked.columns == ["name", "n", "passed"] and marked.where("passed").count() == len(rows)
+    others = spark.range(10_000).select(F.format_string("k%d", "id").alias("name"), F.lit(0.5).alias("n"))
+    assert found.mark(others, ["name", "n"], "passed").where("passed").count() < 500
+    assert found.mark(others, ["name", "n"], "passed").count() == 10_000
+    assert "Exchange hashpartitioning" not in marked._jdf.queryExecution().executedPlan().toString()
+    assert found.suits(probe, ["name", "n"]) and not found.suits(probe, ["n", "name"])
+
+
+def test_a_filter_is_no_larger_than_keys_that_may_be_broadcast(spark):
+    known = KeySet.of(spark.range(20_000))
+    assert known.filter(16, max_keys=0) is None
+    assert known.filter(16, max_keys=100).segments == 100 * 67 * 8 // 4096
+    assert known.filter(16, max_keys=50) is None
+    assert known.filter(16).segments == 79
