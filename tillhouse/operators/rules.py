@@ -27,6 +27,8 @@ REFERENCE_FLAG = "df_{parent}_ref"
 VALUE_FLAG = "correct_{column}"
 OVERALL_FLAG = "business_overall_correct"
 
+FILTER_BITS = 256  # of a filter, for each value that the parent lacks
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -83,8 +85,9 @@ def flag_reference(
 
     Rows are not shuffled as long as one of two things is small.  If the parent has few keys, they are broadcast.
     Otherwise the values that the parent lacks, usually few, are looked for among the distinct values, and broadcast.
-    Only when there are many of these as well are rows and keys joined by a shuffle; there a value that many rows share
-    is split by adaptive execution.
+    When there are many of these as well, a filter of them is broadcast, with the few known values that pass it.  Only
+    when these, too, are many are rows and keys joined by a shuffle; there a value that many rows share is split by
+    adaptive execution.
 
     ``values`` is a table that has all values of the column and is cheaper to compute than ``df``.
     """
@@ -98,6 +101,16 @@ def flag_reference(
         found = F.col("_member").isNull() & F.col(column).isNotNull()
         return _flag_members(df, F.broadcast(unknown.keys), column, flag, found)
 
+    lacking = unknown.filter(FILTER_BITS, max_broadcast)
+    if lacking is not None and lacking.suits(df, [column]) and lacking.suits(referred, [column]):
+        passed = lacking.mark(referred, [column], "_passed").where("_passed").select(column)
+        mistaken = KeySet.of(passed.join(unknown.keys, column, "left_anti").distinct())
+        if mistaken.fits(max_broadcast):
+            asked = lacking.mark(df, [column], "_passed")
+            members = F.broadcast(mistaken.keys.withColumn("_member", F.lit(True)))
+            found = F.col(column).isNotNull() & (~F.col("_passed") | F.col("_member").isNotNull())
+            return asked.join(members, column, "left").select(*df.columns, found.alias(flag))
+
     return _flag_members(df, known.keys, column, flag, F.col("_member").isNotNull())
 
 
