@@ -1,6 +1,7 @@
 """Sources, sinks and the layer jobs, over temporary folders."""
 
 import datetime
+import pathlib
 from decimal import Decimal
 
 import pytest
@@ -14,6 +15,7 @@ from tillhouse.operators import loyalty, products
 from tillhouse.operators import users as per_user
 from tillhouse.plans import jobs, policies
 from tillhouse.sources import tables as io
+from tillhouse.workload import queries
 
 AS_OF = datetime.datetime(2026, 8, 1)
 STAMP = "2026-07-01 10:00:00"
@@ -202,3 +204,13 @@ def test_gold_checks_the_schema(spark, tmp_path):
     io.write_tables({name: spark.range(1) for name in policies.TABLES}, source)
     with pytest.raises(ValueError, match="expected schema"):
         jobs.gold(spark, source, str(tmp_path / "gold"), str(tmp_path / "reports"))
+
+
+def test_tables_and_exports_are_written_compressed(spark, tmp_path, monkeypatch):
+    io.write_table(spark.range(3), str(tmp_path), "numbers")
+    assert all(file.name.endswith(".zstd.parquet") for file in (tmp_path / "numbers").glob("part-*"))
+    raw = spark.createDataFrame([("1", None), ("2", "b,c")], "a string, b string")
+    monkeypatch.setattr(queries.src, "raw_tables", lambda *_: {"t": raw})
+    exported = queries._export(spark, "unused", ["t"])
+    assert sorted(io.scan_csv_tables(spark, exported, ["t.csv"])["t"].collect()) == [("1", None), ("2", "b,c")]
+    assert all(file.name.endswith(".csv.gz") for file in pathlib.Path(exported, "t.csv").glob("part-*"))

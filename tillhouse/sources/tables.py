@@ -85,7 +85,7 @@ def _probed(df: DataFrame, probe: bool) -> DataFrame:
 def write_table(df: DataFrame, folder: str, name: str) -> str:
     """Replace the Parquet table ``<folder>/<name>`` and return its path."""
     path = _below(folder, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return path
 
 

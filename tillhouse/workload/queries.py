@@ -394,7 +394,7 @@ def _export(spark: SparkSession, folder: str, names: list[str]) -> str:
     raw = src.raw_tables(spark, folder)
 
     def export(name: str) -> None:
-        raw[name].write.csv(f"{target}/{name}.csv", header=True)
+        raw[name].write.csv(f"{target}/{name}.csv", header=True, compression="gzip")
 
     run_together(spark, {name: partial(export, name) for name in names})
     return target
