@@ -64,6 +64,46 @@ def test_word_index(parts):
     assert found == [dict(counter) for counter in expected]
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(1, 4), max_size=9), max_size=6), st.integers(2, 5))
+def test_windows_are_one_per_word_at_most(parts, depth):
+    text = np.array([0] + [x for part in parts if part for x in [*part, 0]], dtype=np.int64)
+    expected = Counter(tuple(part[k : k + depth]) for part in parts for k in range(len(part) - 1))
+    found = Counter()
+    for words, counts in phrases.windows_of(phrases.WordIndex(text), depth):
+        found.update({tuple(row): int(n) for row, n in zip(words.tolist(), counts)})
+    assert found == expected
+
+
+@pytest.mark.parametrize("batch", [1, 3, 10_000])
+def test_phrases_of_windows(spark, batch):
+    source = random.Random(9)
+    # "\x1c" and "\x00" come before a space in byte order
+    words = ["a", "a\x1c", "a\x00b", "b", "bé", "\U0001f600"]
+    rows = [
+        (source.choice(["en", "de"]), tuple(source.choice(words) for _ in range(source.randint(2, 5))), source.randint(1, 3))
+        for _ in range(400)
+    ]
+    expected = Counter()
+    for lang, window, n in rows:
+        for size in range(2, len(window) + 1):
+            expected[lang, " ".join(window[:size]), size] += n
+    windows = spark.createDataFrame(
+        [(lang, "".join(f"{word} " for word in window), n) for lang, window, n in rows], "lang string, window string, n long"
+    )
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(batch))
+    try:
+        parts = phrases._window_phrases(windows, 8, 5).collect()
+    finally:
+        spark.conf.set(key, before)
+    found = Counter()
+    for row in parts:
+        found[row["lang"], row["phrase"], row["size"]] += row["n"]
+    assert {k: n for k, n in found.items() if n >= 8} == {k: n for k, n in expected.items() if n >= 8}
+
+
 def test_words_and_pieces():
     texts = ["Ab cd\tEF. gh,,A\x0bb", "", " \t", "É\x1c ß x y", "..;"]
     numbers, words = phrases.number_words([text.encode() for text in texts])

@@ -3,8 +3,10 @@
 Texts are cut into pieces at punctuation and pieces into words.  Each block of texts of one language is a shard: its words
 as numbers, with a vocabulary of its own.  A phrase that occurs often enough consists of pairs of neighbours that do; so the
 shards first sum up their pairs, and each gets back those of its own that are frequent in all together.  What is left of a
-shard, runs of words whose neighbours are frequent pairs, goes into an FM-index, and extending intervals of its two Burrows-Wheeler transforms, to the right and to the left in turn, enumerates
-the n-grams up to the given depth with their counts.  The counts are summed over shards by the phrase itself.
+shard, runs of words whose neighbours are frequent pairs, goes into an FM-index, and extending intervals of its two
+Burrows-Wheeler transforms, to the right and to the left in turn, enumerates the n-grams up to the given depth with their
+counts.  A shard hands on windows only: what begins at a word, up to the depth or the end of its run.  Every phrase begins
+windows and nothing else does, so in the order of all windows each phrase is one stretch, whose counts are summed.
 """
 
 from __future__ import annotations
@@ -102,6 +104,11 @@ class WordIndex:
             sizes,
         )
 
+    def ended(self, grams: Grams) -> np.ndarray:
+        """How many of the occurrences of each n-gram are at the end of a piece."""
+        ends = np.concatenate([[0], np.cumsum(self.backward[0] == 0)])
+        return ends[grams.backward + grams.sizes] - ends[grams.backward]
+
     def n_grams(self, depth: int) -> Iterator[Grams]:
         """Those of 2, 3 and more words, each length in one step from the length before."""
         words = np.flatnonzero(self.sizes[1:]) + 1
@@ -213,8 +220,15 @@ def _shard_pairs(shards: DataFrame) -> DataFrame:
     return chosen.mapInArrow(run, "shard long, at int, hash long, n int")
 
 
-def _shard_phrases(shards: DataFrame, frequent: DataFrame, depth: int) -> DataFrame:
-    """(lang, phrase, size, n): the phrases of each shard all of whose neighbours are frequent pairs."""
+def windows_of(index: WordIndex, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The different windows of each length from 2, a row of words each, and how many words begin them."""
+    for grams in index.n_grams(depth):
+        counts = grams.sizes if grams.words.shape[1] == depth else index.ended(grams)
+        yield grams.words[counts > 0], counts[counts > 0]
+
+
+def _shard_windows(shards: DataFrame, frequent: DataFrame, depth: int) -> DataFrame:
+    """(lang, window, n): the windows of each shard in its runs of frequent pairs, with a space after each word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,19 +236,62 @@ def _shard_phrases(shards: DataFrame, frequent: DataFrame, depth: int) -> DataFr
                 numbers = np.frombuffer(row["numbers"], dtype="<i4").astype(np.int64)
                 words = pa.array([b"", *row["vocabulary"].split(b" ")], pa.binary()).cast(pa.string())
                 runs = frequent_runs(numbers, neighbours(numbers)[0][np.sort(np.array(row["own"], dtype=np.int64))])
-                for grams in WordIndex(runs).n_grams(depth):
-                    phrases = pc.binary_join_element_wise(*(words.take(pa.array(c)) for c in grams.words.T), " ")
+                for found, counts in windows_of(WordIndex(runs), depth):
                     yield from pa.table(
                         {
-                            "lang": pa.array([row["lang"]] * len(phrases), pa.string()),
-                            "phrase": phrases,
-                            "size": pa.array(np.full(len(phrases), grams.words.shape[1], dtype=np.int32)),
-                            "n": pa.array(grams.sizes.astype(np.int64)),
+                            "lang": pa.array([row["lang"]] * len(found), pa.string()),
+                            "window": pc.binary_join_element_wise(*(words.take(pa.array(c)) for c in found.T), "", " "),
+                            "n": pa.array(counts.astype(np.int64)),
                         }
                     ).to_batches(max_chunksize=50_000)
 
     chosen = shards.select("lang", "shard", "vocabulary", "numbers").join(frequent, "shard")
-    return chosen.mapInArrow(run, "lang string, phrase string, size int, n long")
+    return chosen.mapInArrow(run, "lang string, window string, n long")
+
+
+def _window_phrases(windows: DataFrame, least: int, depth: int) -> DataFrame:
+    """(lang, phrase, size, n): the phrases that begin windows, with parts of their counts.
+
+    As words end with a space, the windows that a phrase begins are those that begin with its bytes, which are neighbours in
+    order.  So a batch of ordered windows has all windows of its phrases but for the first and the last phrase of a size:
+    these are always handed on, the others only if they occur often enough.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            parts = pc.split_pattern(batch["window"], " ")
+            coded = parts.flatten().dictionary_encode()
+            numbers, lengths = coded.indices.to_numpy(), pc.list_value_length(parts).to_numpy()
+            begins, sizes = np.cumsum(lengths) - lengths, lengths - 1  # nothing follows the last space
+            langs, n = batch["lang"].dictionary_encode().indices.to_numpy(), batch["n"].to_numpy()
+            table = np.full((len(n), depth), -1, dtype=np.int64)
+            for k in range(depth):
+                longer = np.flatnonzero(sizes > k)
+                table[longer, k] = numbers[begins[longer] + k]
+            new = np.ones(len(n), dtype=bool)
+            new[1:] = (langs[1:] != langs[:-1]) | (table[1:, 0] != table[:-1, 0])
+            for size in range(2, depth + 1):
+                new[1:] |= table[1:, size - 1] != table[:-1, size - 1]
+                first = np.flatnonzero(new)
+                counts = np.add.reduceat(n, first)
+                chosen = counts >= least
+                chosen[[0, -1]] = True
+                chosen &= sizes[first] >= size
+                first, counts = first[chosen], counts[chosen]
+                words = (coded.dictionary.take(pa.array(table[first, k])) for k in range(size))
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "lang": batch["lang"].take(pa.array(first)),
+                        "phrase": pc.binary_join_element_wise(*words, " "),
+                        "size": pa.array(np.full(len(first), size, dtype=np.int32)),
+                        "n": pa.array(counts),
+                    }
+                )
+
+    ordered = windows.repartitionByRange("lang", "window").sortWithinPartitions("lang", "window")
+    return ordered.mapInArrow(run, "lang string, phrase string, size int, n long")
 
 
 def count_phrases(
@@ -252,7 +309,8 @@ def count_phrases(
     in_all = F.sum("n").over(Window.partitionBy("hash"))
     pairs = _shard_pairs(shards).withColumn("f", in_all).where(F.col("f") >= least)
     frequent = pairs.groupBy("shard").agg(F.collect_list("at").alias("own"))
-    found = _shard_phrases(shards, frequent, depth).groupBy("lang", "phrase", "size")
+    windows = stored(_shard_windows(shards, frequent, depth), "phrase-windows")  # dealing by range reads them twice
+    found = _window_phrases(windows, least, depth).groupBy("lang", "phrase", "size")
     counted = words.agg(F.sum("n").alias("f")).unionByName(found.agg(F.sum("n").alias("f")))
     return stored(counted.where(F.col("f") >= least), "phrases"), totals
 
