@@ -9,6 +9,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from tests.llm.tables import awkward, empty, prose
+from tillhouse.functions.materialize import stored
 from tillhouse.llm import phrases
 
 
@@ -104,6 +105,48 @@ def test_phrases_of_windows(spark, batch):
     assert {k: n for k, n in found.items() if n >= 8} == {k: n for k, n in expected.items() if n >= 8}
 
 
+def handed_on(monkeypatch, docs, **options):
+    """The rows that shards hand on, and the phrases counted."""
+    kept = {}
+
+    def keep(df, label):
+        kept[label] = stored(df, label)
+        return kept[label]
+
+    monkeypatch.setattr(phrases, "stored", keep)
+    counted = phrases.count_phrases(docs, **options)[0].where("size > 1").collect()
+    return kept["phrase-windows"].collect(), {(row["lang"], row["phrase"]): row["f"] for row in counted}
+
+
+@pytest.mark.parametrize("shards", [1, 7])
+def test_a_pair_is_handed_on_by_one_shard(spark, monkeypatch, shards):
+    rows = [("red fox. old dog, a b c", "en"), ("red fox", "de")] * 70
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(shards)
+    windows, counted = handed_on(monkeypatch, docs, least=60)
+    pairs = sorted((row["lang"], row["window"], row["n"]) for row in windows if row["window"].count(" ") == 2)
+    assert pairs == [("de", "red fox ", 70)] + [("en", x, 70) for x in ("a b ", "b c ", "old dog ", "red fox ")]
+    assert counted == {
+        ("de", "red fox"): 70, **{("en", x): 70 for x in ("a b", "a b c", "b c", "old dog", "red fox")}
+    }
+
+
+def test_pairs_whose_hashes_are_equal(spark, monkeypatch):
+    rows = [("red fox, old dog, a b c d", "en")] * 9 + [("old dog, a b", "en")] * 4
+    same = lambda data, ends: (np.ones(data.tobytes().count(b" ") + 1, dtype=np.uint64), None)
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    monkeypatch.setattr(phrases, "word_hashes", same)
+    assert mined(docs, least=5) == plain(rows, 5, phrases.TOP)
+
+
+@pytest.mark.parametrize("shortest", [2, 3, 4])
+def test_runs_that_are_long_enough(shortest):
+    numbers = np.array([0, 1, 2, 0, 1, 2, 3, 9, 1, 2, 3, 4, 0, 5, 0])
+    pairs = np.array([(k << 32) | (k + 1) for k in (1, 2, 3)])
+    runs = phrases.frequent_runs(numbers, pairs, shortest)
+    expected = [run for run in ([1, 2], [1, 2, 3], [1, 2, 3, 4]) if len(run) >= shortest]
+    assert runs.tolist() == [0] + [x for run in expected for x in [*run, 0]]
+
+
 def test_words_and_pieces():
     texts = ["Ab cd\tEF. gh,,A\x0bb", "", " \t", "É\x1c ß x y", "..;"]
     numbers, words = phrases.number_words([text.encode() for text in texts])

@@ -2,15 +2,17 @@
 
 Texts are cut into pieces at punctuation and pieces into words.  Each block of texts of one language is a shard: its words
 as numbers, with a vocabulary of its own.  A phrase that occurs often enough consists of pairs of neighbours that do; so the
-shards first sum up their pairs, and each gets back those of its own that are frequent in all together.  What is left of a
-shard, runs of words whose neighbours are frequent pairs, goes into an FM-index, and extending intervals of its two
-Burrows-Wheeler transforms, to the right and to the left in turn, enumerates the n-grams up to the given depth with their
-counts.  A shard hands on windows only: what begins at a word, up to the depth or the end of its run.  Every phrase begins
-windows and nothing else does, so in the order of all windows each phrase is one stretch, whose counts are summed.
+shards first sum up their pairs, and each gets back those of its own that are frequent in all together.  The count of a pair
+in all is known then, so one of its shards hands it on with that.  What is left of a shard, runs of three words or more whose
+neighbours are frequent pairs, goes into an FM-index, and extending intervals of its two Burrows-Wheeler transforms, to the
+right and to the left in turn, enumerates the n-grams up to the given depth with their counts.  Of these a shard hands on
+windows only: what begins at a word, up to the depth or the end of its run, three words at least.  Every phrase of three words
+or more begins windows and nothing else does, so in the order of all windows each is one stretch, whose counts are summed.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -126,14 +128,20 @@ class Grams:
         self.words, self.forward, self.backward, self.sizes = words, forward, backward, sizes
 
 
-def frequent_runs(numbers: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-    """The text cut between neighbours that are none of ``pairs`` (in order, 2**32 times the first plus the second)."""
+def frequent_runs(numbers: np.ndarray, pairs: np.ndarray, shortest: int = 2) -> np.ndarray:
+    """The text cut between neighbours that are none of ``pairs`` (in order, 2**32 times the first plus the second).
+
+    What has fewer than ``shortest`` words then is left out.
+    """
     neighbours = (numbers[:-1].astype(np.int64) << 32) | numbers[1:]
     at = np.searchsorted(pairs, neighbours)
     joined = np.zeros(len(numbers) + 1, dtype=bool)  # whether a word belongs to the one before
     joined[1:-1] = pairs[np.minimum(at, len(pairs) - 1)] == neighbours if len(pairs) else False
     kept = np.flatnonzero(joined[:-1] | joined[1:])
     last = ~joined[kept + 1]
+    lengths = np.diff(np.flatnonzero(last), prepend=-1)
+    enough = np.repeat(lengths >= shortest, lengths)
+    kept, last = kept[enough], last[enough]
     out = np.zeros(len(kept) + int(last.sum()) + 1, dtype=np.int64)
     out[1 + np.arange(len(kept)) + np.cumsum(last) - last] = numbers[kept]
     return out
@@ -196,7 +204,11 @@ def neighbours(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _shard_pairs(shards: DataFrame) -> DataFrame:
-    """(shard, at, hash, n): each of the ``neighbours`` of each shard; equal pairs of a language have equal hashes."""
+    """(shard, at, hash, check, n): each of the ``neighbours`` of each shard.
+
+    Equal pairs of a language have equal hashes.  ``check`` has 32 bits more, from other hashes of the words, so that pairs
+    can be told apart by both, and words too.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,51 +218,67 @@ def _shard_pairs(shards: DataFrame) -> DataFrame:
                 hashes = word_hashes(vocabulary, np.array([0, len(vocabulary)]))[0]
                 language = np.frombuffer(row["lang"].encode() + b"\0", dtype=np.uint8)
                 seed = mix(word_hashes(language, np.array([0, len(language)]))[0][:1])
-                first, second = hashes[(pairs >> 32) - 1], hashes[(pairs & 0xFFFFFFFF) - 1]
+                start = zlib.crc32(row["lang"].encode())
+                checks = np.array([zlib.crc32(word, start) for word in row["vocabulary"].split(b" ")], dtype=np.uint64)
+                left, right = (pairs >> 32) - 1, (pairs & 0xFFFFFFFF) - 1
+                first, second = hashes[left], hashes[right]
+                check = mix((checks[left] << np.uint64(32)) | checks[right]).astype(np.uint32)
                 yield from pa.table(
                     {
                         "shard": pa.array(np.full(len(pairs), row["shard"])),
                         "at": pa.array(np.arange(len(pairs), dtype=np.int32)),
                         "hash": pa.array(mix(mix(first + seed) + second).view(np.int64)),
+                        "check": pa.array(check.view(np.int32)),
                         "n": pa.array(counts.astype(np.int32)),
                     }
                 ).to_batches(max_chunksize=50_000)
 
     chosen = shards.select("lang", "shard", "vocabulary", "numbers")
-    return chosen.mapInArrow(run, "shard long, at int, hash long, n int")
+    return chosen.mapInArrow(run, "shard long, at int, hash long, check int, n int")
 
 
-def windows_of(index: WordIndex, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The different windows of each length from 2, a row of words each, and how many words begin them."""
+def windows_of(index: WordIndex, depth: int, shortest: int = 2) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The different windows of each length from ``shortest``, a row of words each, and how many words begin them."""
     for grams in index.n_grams(depth):
+        if grams.words.shape[1] < shortest:
+            continue
         counts = grams.sizes if grams.words.shape[1] == depth else index.ended(grams)
         yield grams.words[counts > 0], counts[counts > 0]
 
 
 def _shard_windows(shards: DataFrame, frequent: DataFrame, depth: int) -> DataFrame:
-    """(lang, window, n): the windows of each shard in its runs of frequent pairs, with a space after each word."""
+    """(lang, window, size, n): windows with a space after each word.
+
+    Those of two words are the pairs that the shard was chosen to name, with their counts in all.  The others are the windows
+    of each shard in its runs of frequent pairs.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 numbers = np.frombuffer(row["numbers"], dtype="<i4").astype(np.int64)
                 words = pa.array([b"", *row["vocabulary"].split(b" ")], pa.binary()).cast(pa.string())
-                runs = frequent_runs(numbers, neighbours(numbers)[0][np.sort(np.array(row["own"], dtype=np.int64))])
-                for found, counts in windows_of(WordIndex(runs), depth):
+                pairs = neighbours(numbers)[0]
+                runs = frequent_runs(numbers, pairs[np.sort(np.array(row["own"], dtype=np.int64))], 3)
+                named = pairs[np.array([x["at"] for x in row["named"]], dtype=np.int64)]
+                totals = np.array([x["f"] for x in row["named"]], dtype=np.int64)
+                all_pairs = np.stack([named >> 32, named & 0xFFFFFFFF], axis=1), totals
+                for found, counts in (all_pairs, *windows_of(WordIndex(runs), depth, 3)):
                     yield from pa.table(
                         {
                             "lang": pa.array([row["lang"]] * len(found), pa.string()),
                             "window": pc.binary_join_element_wise(*(words.take(pa.array(c)) for c in found.T), "", " "),
+                            "size": pa.array(np.full(len(found), found.shape[1], dtype=np.int32)),
                             "n": pa.array(counts.astype(np.int64)),
                         }
                     ).to_batches(max_chunksize=50_000)
 
     chosen = shards.select("lang", "shard", "vocabulary", "numbers").join(frequent, "shard")
-    return chosen.mapInArrow(run, "lang string, window string, n long")
+    return chosen.mapInArrow(run, "lang string, window string, size int, n long")
 
 
-def _window_phrases(windows: DataFrame, least: int, depth: int) -> DataFrame:
-    """(lang, phrase, size, n): the phrases that begin windows, with parts of their counts.
+def _window_phrases(windows: DataFrame, least: int, depth: int, shortest: int = 2) -> DataFrame:
+    """(lang, phrase, size, n): the phrases of ``shortest`` words or more that begin windows, with parts of their counts.
 
     As words end with a space, the windows that a phrase begins are those that begin with its bytes, which are neighbours in
     order.  So a batch of ordered windows has all windows of its phrases but for the first and the last phrase of a size:
@@ -274,6 +302,8 @@ def _window_phrases(windows: DataFrame, least: int, depth: int) -> DataFrame:
             new[1:] = (langs[1:] != langs[:-1]) | (table[1:, 0] != table[:-1, 0])
             for size in range(2, depth + 1):
                 new[1:] |= table[1:, size - 1] != table[:-1, size - 1]
+                if size < shortest:
+                    continue
                 first = np.flatnonzero(new)
                 counts = np.add.reduceat(n, first)
                 chosen = counts >= least
@@ -299,20 +329,24 @@ def count_phrases(
 ) -> tuple[DataFrame, DataFrame]:
     """All phrases of 1 to ``depth`` words that occur ``least`` times in their language, and each language's words in all.
 
-    The first has (lang, phrase, size, f), the second (lang, n).  Hashes of pairs only say what to count, never how often:
-    two pairs that share one may be counted in vain, and the phrase itself decides.  A pair has one row per shard at most,
-    so frequent ones are no hot keys.
+    The first has (lang, phrase, size, f), the second (lang, n).  Pairs are known by 96 bits of hashes; for four million
+    frequent pairs among two billion different ones the chance that any shares them is about one in ten million million.
+    Longer phrases and words are known by themselves.  A pair has one row per shard at most, so frequent ones are no hot keys.
     """
     shards = stored(_shards(docs, text, lang, block_bytes), "phrase-shards")
     totals = stored(shards.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
     words = _shard_words(shards).groupBy("lang", F.col("word").alias("phrase"), F.lit(1).alias("size"))
-    in_all = F.sum("n").over(Window.partitionBy("hash"))
-    pairs = _shard_pairs(shards).withColumn("f", in_all).where(F.col("f") >= least)
-    frequent = pairs.groupBy("shard").agg(F.collect_list("at").alias("own"))
+    pair = Window.partitionBy("hash", "check")
+    in_all = {"f": F.sum("n").over(pair), "names": F.min("shard").over(pair)}
+    pairs = _shard_pairs(shards).withColumns(in_all).where(F.col("f") >= least)
+    named = F.when(F.col("names") == F.col("shard"), F.struct("at", "f"))  # by one of its shards
+    frequent = pairs.groupBy("shard").agg(F.collect_list("at").alias("own"), F.collect_list(named).alias("named"))
     windows = stored(_shard_windows(shards, frequent, depth), "phrase-windows")  # dealing by range reads them twice
-    found = _window_phrases(windows, least, depth).groupBy("lang", "phrase", "size")
-    counted = words.agg(F.sum("n").alias("f")).unionByName(found.agg(F.sum("n").alias("f")))
-    return stored(counted.where(F.col("f") >= least), "phrases"), totals
+    named_pairs = windows.where("size = 2").select("lang", F.rtrim("window").alias("phrase"), "size", F.col("n").alias("f"))
+    found = _window_phrases(windows.where("size > 2"), least, depth, 3).groupBy("lang", "phrase", "size")
+    longer = found.agg(F.sum("n").alias("f"))
+    counted = words.agg(F.sum("n").alias("f")).unionByName(named_pairs).unionByName(longer)
+    return stored(counted.where((F.col("f") >= least) & (F.col("size") <= depth)), "phrases"), totals
 
 
 def _part(words: Column, begin: Column, length: Column) -> Column:
